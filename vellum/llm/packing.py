@@ -115,28 +115,27 @@ class Bins:
             by_free[f - n].append(k)
             open_ |= 1 << (f - n)
 
-    def search(self, steps: int = 2_000, width: int = 256) -> None:
-        """Empty the emptiest sequences into the `width` fullest of the underfull, while a move is found."""
+    def search(self, failures: int = 12, width: int = 128) -> None:
+        """Move mass out of the emptiest sequences into `width` underfull ones that are fuller, until the number of
+        sequences is the least that the tokens need, or `failures` sources in turn let nothing go."""
         least = -(-sum(self.capacity - f for f in self.free) // self.capacity)
-        tried: set[int] = set()
-        while steps > 0 and sum(map(bool, self.items)) > least:
+        left, tried = sum(map(bool, self.items)), set()
+        while left > least and len(tried) < failures:
             under = sorted((k for k, f in enumerate(self.free) if self.items[k] and f), key=lambda k: -self.free[k])
             source = next((k for k in under if k not in tried), None)
             if source is None:
                 return
-            into = [k for k in under if self.free[k] < self.free[source]][-width:]
-            if self._move(source, into):
-                steps -= 1
-                tried.clear()
-            else:
-                steps -= 1
-                tried.add(source)
+            into = [k for k in under if self.free[k] < self.free[source] or (self.free[k] == self.free[source] and k > source)][:width]
+            moved = False
+            while self.items[source] and self._move(source, into):
+                moved = True
+            left -= not self.items[source]
+            tried = set() if not self.items[source] else tried | {source}
+            if moved and self.items[source]:
+                tried &= {source}
 
     def _exchange(self, a: int, out: list, b: int, back: list) -> bool:
-        """Pieces `out` of a for `back` of b; true if b is then fuller, and fuller than a was."""
         gain = sum(n for n, _ in out) - sum(n for n, _ in back)
-        if not 0 < gain <= self.free[b]:
-            return False
         for x in out:
             self.items[a].remove(x)
         for x in back:
@@ -148,25 +147,29 @@ class Bins:
         return True
 
     def _move(self, a: int, into: list[int]) -> bool:
+        """One move or exchange that takes tokens from a to a fuller sequence: the one that fills it best."""
+        import numpy as np
+
         mine = sorted(self.items[a], reverse=True)
-        pairs = [[x, y] for i, x in enumerate(mine[:24]) for y in mine[i + 1 : 24]]
-        for p in mine:  # a move to where it fits best
+        for p in mine:
             if fit := [b for b in into if self.free[b] >= p[0]]:
                 return self._exchange(a, [p], min(fit, key=lambda b: self.free[b]), [])
+        backs = [(b, [q]) for b in into for q in self.items[b]]
+        ones = len(backs)
+        backs += [(b, [q, r]) for b in into for i, q in enumerate(self.items[b][:8]) for r in self.items[b][i + 1 : 8]]
+        if not backs:
+            return False
+        size = np.fromiter((sum(n for n, _ in x) for _, x in backs), np.int64, len(backs))
+        room = np.fromiter((self.free[b] for b, _ in backs), np.int64, len(backs))
+        outs = [([p], len(backs)) for p in mine] + [([x, y], ones) for i, x in enumerate(mine[:12]) for y in mine[i + 1 : 12]]
         best: tuple | None = None
-        for b in into:
-            room, theirs = self.free[b], sorted(self.items[b])
-            ones = [[q] for q in theirs]
-            twos = [[q, r] for i, q in enumerate(theirs[:24]) for r in theirs[i + 1 : 24]]
-            for out, backs in [*(([p], ones) for p in mine), *(([p], twos) for p in mine), *((x, ones) for x in pairs)]:
-                size = sum(n for n, _ in out)
-                for back in backs:
-                    gain = size - sum(n for n, _ in back)
-                    if 0 < gain <= room and (best is None or gain > best[0]):
-                        best = (gain, out, b, back)
-            if best and best[0] == room:
-                break
-        return bool(best) and self._exchange(a, *best[1:])
+        for out, n in outs:
+            gain = sum(n for n, _ in out) - size[:n]
+            gain = np.where(gain <= room[:n], gain, 0)
+            k = int(gain.argmax())
+            if gain[k] > 0 and (best is None or gain[k] > best[0]):
+                best = (gain[k], out, k)
+        return best is not None and self._exchange(a, best[1], *backs[best[2]])
 
 
 def pack_group(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, int]]:
