@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import packing, sharding, simhash
+from vellum.llm import packing, sharding, simhash, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_table(spark, sf_dir, "documents"))
 
 
+def op8_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.neighbours(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -30,4 +34,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_sharding": sharding.ORACLE_SQL}
+    return {"op4_sharding": sharding.ORACLE_SQL, "op8_cover_tree": topk.ORACLE_SQL}
