@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import packing, sharding, simhash, topk, url_filter
+from vellum.llm import packing, secret_scan, sharding, simhash, topk, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_table(spark, sf_dir, "documents"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op8_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.neighbours(_table(spark, sf_dir, "embeddings"))
 
@@ -38,4 +42,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_sharding": sharding.ORACLE_SQL, "op8_cover_tree": topk.ORACLE_SQL}
+    return {"op4_sharding": sharding.ORACLE_SQL, "op5_secret_scan": secret_scan.ORACLE_SQL, "op8_cover_tree": topk.ORACLE_SQL}
