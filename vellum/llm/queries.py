@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import packing, secret_scan, sharding, simhash, topk, url_filter
+from vellum.llm import line_classifier, packing, secret_scan, sharding, simhash, topk, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op10_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_classifier.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
