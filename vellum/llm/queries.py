@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import line_classifier, packing, secret_scan, sharding, simhash, topk, url_filter
+from vellum.llm import line_classifier, packing, quality_rules, secret_scan, sharding, simhash, topk, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(_table(spark, sf_dir, "documents"))
+
+
 def op8_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.neighbours(_table(spark, sf_dir, "embeddings"))
 
