@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import line_classifier, packing, quality_rules, secret_scan, sharding, simhash, topk, url_filter
+from vellum.llm import line_classifier, mixing, packing, quality_rules, secret_scan, sharding, simhash, topk, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(_table(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).drop("row")
+
+
 def op8_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.neighbours(_table(spark, sf_dir, "embeddings"))
 
