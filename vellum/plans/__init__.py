@@ -1,6 +1,6 @@
 """All registered queries of the engine's own operators."""
 
-from vellum.plans import lines
+from vellum.plans import lines, registry_tables, relational, texts
 from vellum.plans.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "lines"]
+__all__ = ["QUERIES", "SQL", "lines", "registry_tables", "relational", "texts"]
