@@ -15,6 +15,7 @@ An empty table gives no rows. Other columns are ignored.
 from __future__ import annotations
 
 import sys
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -27,7 +28,7 @@ from vellum.llm.shared import ship, stored, text_or_empty
 CAPACITY = 2048
 END = (0).to_bytes(4, "little")
 #: Pieces packed together, and words whose tokens a worker remembers.
-GROUP, REMEMBER = 40_000, 500_000
+GROUP, REMEMBER = 40_000, 1_200_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -41,32 +42,80 @@ class Words:
     """Tokens of a text as bytes (little-endian, 32 bits), put together from those of its words.
 
     The tokenizer never joins characters across ASCII white space and drops it, so a text's tokens are those of
-    its words in turn. Words met before are remembered, up to a bound.
+    its words in turn; it folds case, and cuts between letters and punctuation, so a word of letters and a tail of
+    punctuation are looked up apart. Words met before are remembered, up to a bound, as long as the worker lives.
+    Letters not met before are encoded many at a time; the tokens that end a word cut the result again.
     """
 
+    TAIL = ".,;:!?*&%$#|"
+
     def __init__(self, vocabulary: str):
+        import numpy as np
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(vocabulary), {}
+        self.tokenizer, self.known, self.letters = Tokenizer.from_file(vocabulary), {}, {}
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[n for t, n in vocab.items() if t.endswith("</w>")]] = True
 
-    def learn(self, words: set[bytes]) -> None:
+    @classmethod
+    def of_worker(cls, vocabulary: str) -> Words:
+        held = vars(sys).setdefault("_vellum_words", {})
+        if vocabulary not in held:
+            held[vocabulary] = cls(vocabulary)
+        return held[vocabulary]
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        import numpy as np
+
+        return [np.asarray(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _learn_letters(self, texts: list[str]) -> None:
         import numpy as np
 
-        if len(self.known) + len(words) > REMEMBER:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for w, x in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-                self.known[w] = np.asarray(x.ids, "<u4").tobytes()
+        for at in range(0, len(texts), 1024):
+            part = texts[at : at + 1024]
+            ids = np.asarray(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            cuts = (np.nonzero(self.ends[ids])[0] + 1).tolist()
+            if len(cuts) == len(part) and cuts[-1] == len(ids):
+                raw = ids.tobytes()
+                self.letters.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(part, [0, *cuts], cuts))
+            else:
+                self.letters.update(zip(part, self._plain(part)))
 
-    def encode(self, text: bytes) -> bytes:
-        words = text.split()
-        try:
-            return b"".join([self.known[w] for w in words])
-        except KeyError:
-            self.learn(set(words))
-            return b"".join([self.known[w] for w in words])
+    def learn(self, words: set[bytes]) -> None:
+        split, rest = [], []
+        for w in words:
+            text = w.decode()
+            core = text.rstrip(self.TAIL)
+            if core.isalpha() and (w.isascii() or (unicodedata.is_normalized("NFC", core) and "\u03a3" not in core and "\u0130" not in core)):
+                split.append((w, core.lower(), text[len(core) :]))
+            else:
+                rest.append((w, text))
+        self._learn_letters([c for c in {c for _, c, _ in split} if c not in self.letters])
+        tails = [t for t in {t for _, _, t in split} if t]
+        of = dict(zip(tails, self._plain(tails))) | {"": b""}
+        letters = self.letters
+        self.known.update((w, letters[c] + of[t]) for w, c, t in split)
+        self.known.update(zip([w for w, _ in rest], self._plain([t for _, t in rest])))
+
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
+        """Many texts at once: what is new in some hundreds of thousands of bytes of them is learnt in one go."""
+        out, waiting, size = [], [], 0
+        for t in [*texts, None]:
+            if t is None or size > 1 << 20:
+                new = {w for words, got in waiting if None in got for w, x in zip(words, got) if x is None}
+                if len(self.known) + len(new) > REMEMBER:
+                    self.known, self.letters = {}, {}
+                self.learn(new)
+                known = self.known
+                out += [b"".join(got) if None not in got else b"".join([known[w] if x is None else x for w, x in zip(words, got)]) for words, got in waiting]
+                waiting, size = [], 0
+            if t is not None:
+                words = t.split()
+                waiting.append((words, list(map(self.known.get, words))))
+                size += len(t)
+        return out
 
 
 def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY) -> DataFrame:
@@ -76,11 +125,11 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        words = Words(vocabulary or default_vocabulary())
+        words = Words.of_worker(vocabulary or default_vocabulary())
         for b in batches:
             cols: tuple[list, ...] = ([], [], [], [], [])
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                ids = words.encode(text) + END
+            for doc, ids in zip(b.column("doc_id").to_pylist(), words.encode_all(b.column("text").to_pylist())):
+                ids += END
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     for c, x in zip(cols, (doc, piece, at // 4, len(part) // 4, zlib.crc32(part))):
