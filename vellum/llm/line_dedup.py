@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 import sys
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -30,8 +31,8 @@ from vellum.llm.shared import components, ship, stored
 
 SHINGLE, THRESHOLD, MIN_CHARS = 8, 0.8, 16
 BANDS, ROWS = 12, 4
-#: Bits of the map of needed ids.
-BITMAP = 1 << 26
+#: Bits of the map of needed ids; lines whose shingles a task remembers.
+REMEMBER, BITMAP = 4_096, 1 << 26
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 FOLD = {c: c + 32 for c in range(65, 91)}
 
@@ -40,10 +41,17 @@ def folded(line: str) -> str:
     return SPACE.sub(" ", line).strip(" ").translate(FOLD)
 
 
-def jaccard(a: str, b: str) -> float:
-    """Of the sets of shingles; a text shorter than a shingle is one itself."""
-    x, y = ({t[i : i + SHINGLE] for i in range(max(1, len(t) - SHINGLE + 1))} for t in (a, b))
-    return len(x & y) / len(x | y)
+def shingles(t: str) -> frozenset[str]:
+    """A text shorter than a shingle is one itself."""
+    return frozenset(t[i : i + SHINGLE] for i in range(max(1, len(t) - SHINGLE + 1)))
+
+
+def jaccard(x: frozenset[str], y: frozenset[str]) -> float:
+    """Of two sets of shingles; 0 where their sizes alone keep them below the threshold."""
+    if min(len(x), len(y)) < THRESHOLD * max(len(x), len(y)):
+        return 0.0
+    both = len(x & y)
+    return both / (len(x) + len(y) - both)
 
 
 def _hashed(lines: list[str]):
@@ -162,8 +170,9 @@ def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of ids whose lines are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = lru_cache(REMEMBER)(shingles)
         for b in batches:
-            keep = [jaccard(x, y) >= THRESHOLD for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist())]
+            keep = [jaccard(of(x), of(y)) >= THRESHOLD for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist())]
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     named = lambda i, t: texts.select(F.col("id").alias(i), F.col("line").alias(t))
