@@ -100,14 +100,13 @@ def short_covered(spark, d):
 _NUM = ("l_quantity", "l_discount", "l_tax")
 
 
-@query(f"""WITH c AS (SELECT l_returnflag, {", ".join(f"avg({c}) AS {c}" for c in _NUM)} FROM lineitem GROUP BY 1), u AS (UNPIVOT c ON {", ".join(_NUM)} INTO NAME feature VALUE mean),
-x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem WHERE l_orderkey % 50 = 0)
-SELECT l_orderkey, l_linenumber, arg_min(l_returnflag, struct_pack(a := round(abs(mean - l_quantity), 9), b := l_returnflag)) AS nearest FROM x JOIN u ON feature = 'l_quantity' GROUP BY 1, 2""")
+@query(f"""WITH c AS (SELECT l_returnflag, {", ".join(f"avg({c}) AS {c}" for c in _NUM)} FROM lineitem GROUP BY 1), u AS (UNPIVOT c ON {", ".join(_NUM)} INTO NAME feature VALUE mean)
+SELECT l_orderkey, l_linenumber, arg_min(u.l_returnflag, struct_pack(a := round(abs(mean - x.l_quantity), 9), b := u.l_returnflag)) AS nearest FROM lineitem x JOIN u ON feature = 'l_quantity' GROUP BY 1, 2""")
 def nearest_centroid(spark, d):
     """Class means unpivoted, the nearest class of a row."""
     li = table(spark, d, "lineitem")
     means = li.groupBy("l_returnflag").agg(*(F.avg(c).alias(c) for c in _NUM)).unpivot(["l_returnflag"], list(_NUM), "feature", "mean")
-    x = li.where("l_orderkey % 50 = 0").select("l_orderkey", "l_linenumber", "l_quantity", F.lit("l_quantity").alias("feature"))
+    x = li.select("l_orderkey", "l_linenumber", "l_quantity", F.lit("l_quantity").alias("feature"))
     return x.join(means, "feature").groupBy("l_orderkey", "l_linenumber").agg(F.min_by("l_returnflag", F.struct(F.round(F.abs(F.col("mean") - F.col("l_quantity")), 9), "l_returnflag")).alias("nearest"))
 
 

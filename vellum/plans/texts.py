@@ -24,11 +24,11 @@ def clean_text(spark, d):
     return lines_of(spark, d).select("doc_id", "pdf_idx", text.clean_text(t).alias("cleaned"), text.clean_for_matching(t).alias("for_matching"), text.key_text(t).alias("key"))
 
 
-@query(rf"""WITH {LINES}, p AS (SELECT doc_id, pdf_idx, text AS a, lead(text) OVER (PARTITION BY doc_id ORDER BY pdf_idx) AS b FROM L), q AS (SELECT doc_id, pdf_idx, regexp_replace(substr(a, 1, 200), '[^\x00-\x7F]', '?', 'g') AS a, regexp_replace(substr(b, 1, 200), '[^\x00-\x7F]', '?', 'g') AS b FROM p WHERE b IS NOT NULL)
+@query(rf"""WITH {LINES}, p AS (SELECT doc_id, pdf_idx, text AS a, lead(text) OVER (PARTITION BY doc_id ORDER BY pdf_idx) AS b FROM L), q AS (SELECT doc_id, pdf_idx, regexp_replace(a, '[^\x00-\x7F]', '?', 'g') AS a, regexp_replace(b, '[^\x00-\x7F]', '?', 'g') AS b FROM p WHERE b IS NOT NULL)
 SELECT doc_id, pdf_idx, round(CASE WHEN greatest(length(a), length(b)) = 0 THEN 1.0 ELSE 1 - levenshtein(trim(a), trim(b)) / greatest(length(a), length(b))::DOUBLE END, 6) AS similarity FROM q""")
 def line_similarity(spark, d):
-    """Edit-distance similarity of neighbouring lines' heads (a window of 200 characters, letters beyond ASCII alike)."""
-    p = lines_of(spark, d).select("doc_id", "pdf_idx", _ascii(F.substring("text", 1, 200)).alias("a"), _ascii(F.substring(F.lead("text").over(in_order()), 1, 200)).alias("b")).where("b is not null")
+    """Edit-distance similarity of neighbouring lines (letters beyond ASCII alike)."""
+    p = lines_of(spark, d).select("doc_id", "pdf_idx", _ascii(F.col("text")).alias("a"), _ascii(F.lead("text").over(in_order())).alias("b")).where("b is not null")
     return p.select("doc_id", "pdf_idx", F.round(text.similarity(F.col("a"), F.col("b")), 6).alias("similarity"))
 
 
