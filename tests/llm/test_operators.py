@@ -123,7 +123,7 @@ def test_secrets(spark, none):
     df = spark.createDataFrame([(a, b, c, 0) for a, b, c in rows], "doc_id long, text string, source string, spans int")
     got = {r.doc_id: r for r in secret_scan.scan(df).collect()}
     assert (got[9].n_assign, got[9].n_access, got[9].n_hex) == (1, 1, 1)
-    assert got[9].spans.split(",")[0] == "assign:2:21" and "mixed:26:50" in got[9].spans
+    assert got[9].spans.split(",")[0] == "assign:2:21" and "mixed:27:51" in got[9].spans
     assert got[0].spans == "" and got[0].n_example == 1 and got[10].spans == "" and got[12].n_assign == 0
     assert secret_scan.scan(none).count() == 0
 
