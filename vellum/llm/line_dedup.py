@@ -7,8 +7,8 @@ bands of ROWS rows find a pair at the threshold with probability 1 - (1 - 0.8**4
 surely. Of each component the line that comes first by (doc_id, line number) stays, all others go.
 
 In a bucket every line is first compared with one line, the hub. Only buckets whose lines are then still in several
-components are looked at again: there each pair of lines of different components is compared, so that a bucket full of
-copies costs one comparison a line, and no pair of a bucket is left out. Texts of lines travel only if a bucket needs
+components are looked at again: their lines are joined on their rarest shingles, which finds every similar pair of
+them. So a bucket full of copies costs one comparison a line, and no pair of a bucket is left out. Texts of lines travel only if a bucket needs
 them: the ids that do are set in a bitmap of fixed size that goes to the scan.
 
 Documents that lose all their lines that are not blank go; those without any such line stay as they are. Null texts
@@ -190,10 +190,37 @@ def _edges(docs: DataFrame) -> DataFrame:
     of = multi.join(labels, F.col("id") == F.col("node"), "left").select("key", "id", "hub", F.coalesce("component", F.xxhash64("id")).alias("component")).distinct()
     of = stored(of, "members")
     several = of.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
-    left = stored(of.where("id != hub").join(several, "key"), "left")
-    a, b = (left.select("key", F.col("id").alias(i), F.col("component").alias(f"c{i}")) for i in "ab")
-    rest = a.join(b, "key").where("ca < cb").select("a", "b").distinct()
-    return first.union(_similar(rest, texts))
+    left = stored(of.join(several, "key").select("id", "component").distinct(), "left")
+    return first.union(_similar(_sharing(left, texts), texts))
+
+
+def _sharing(left: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of lines (id, component) of different components that share one of their rarest shingles.
+
+    Of two lines as similar as the threshold, each has a shingle of the other among its n - ceil(threshold n) + 1
+    rarest ones, if all lines rank shingles alike; so no pair that counts is left out, and lines of a group of copies
+    that differ too much do not meet, as their rarest shingles are their own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        for b in batches:
+            for at in range(0, b.num_rows, 512):
+                part = b.slice(at, 512)
+                found = [_hashed(sorted(shingles(t))) for t in part.column("line").to_pylist()]
+                each = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+                sizes = pa.array([len(x) for x in found], pa.int32()).take(each)
+                cols = [part.column("id").take(each), part.column("component").take(each), sizes, pa.array(np.concatenate(found), pa.int64())]
+                yield pa.RecordBatch.from_arrays(cols, ["id", "component", "n", "shingle"])
+
+    each = stored(left.join(texts, "id").select("id", "component", "line").mapInArrow(run, "id long, component long, n int, shingle long"), "shingles")
+    often = stored(each.groupBy("shingle").agg(F.count("*").alias("often")), "often")
+    ranked = each.join(often, "shingle").withColumn("at", F.row_number().over(Window.partitionBy("id").orderBy("often", "shingle")))
+    rare = ranked.where((F.col("at") <= F.col("n") - F.ceil(THRESHOLD * F.col("n") - 1e-9) + 1) & (F.col("often") > 1)).select("id", "component", "n", "shingle")
+    rare = stored(rare, "rare")
+    a, b = (rare.select("shingle", F.col("id").alias(i), F.col("component").alias(f"c{i}"), F.col("n").alias(f"n{i}")) for i in "ab")
+    close = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (F.least("na", "nb") >= THRESHOLD * F.greatest("na", "nb") - 1e-9)
+    return a.join(b, "shingle").where(close).select("a", "b").distinct()
 
 
 def removed(docs: DataFrame) -> DataFrame:
