@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Most results of a search, and most queries of one request, which bounds what is broadcast.
+#: Most results of a search, and most queries that are broadcast at once; more are searched block by block.
 MOST_K, MOST_QUERIES = 500, 1_000
 
 
@@ -23,10 +25,19 @@ def int8(v: Column) -> Column:
     return F.transform(v, lambda x: F.greatest(F.lit(-128), F.least(F.lit(127), (x * 128).cast("int"))).cast("tinyint"))
 
 
+def blocks(queries: DataFrame) -> list[DataFrame]:
+    """All queries, in blocks of about half of MOST_QUERIES by the hash of their ids; one block if they are few."""
+    n = -(-2 * queries.count() // MOST_QUERIES)
+    return [queries] if n <= 2 else [queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(n)) == i) for i in range(n)]
+
+
 def search(data: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
-    """(query_id, vec_id, score, rank): the k nearest by inner product of each query; queries are a bounded request."""
-    k = min(k, MOST_K)
-    q = F.broadcast(queries.limit(MOST_QUERIES).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("_q")))
+    """(query_id, vec_id, score, rank): the k nearest by inner product of each query."""
+    return reduce(DataFrame.unionAll, (_search(data, q, min(k, MOST_K)) for q in blocks(queries)))
+
+
+def _search(data: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    q = F.broadcast(queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("_q")))
     scored = data.join(q, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", F.round(dot(F.col("embedding"), F.col("_q")), 6).alias("score"))
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return scored.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
@@ -51,9 +62,12 @@ class InvertedLists:
         self.lists = self.model.transform(self.vectors).select("vec_id", "embedding", F.col("prediction").alias("list"))
 
     def search(self, queries: DataFrame, k: int = 10, nprobe: int = 4) -> DataFrame:
+        return reduce(DataFrame.unionAll, (self._search(q, min(k, MOST_K), nprobe) for q in blocks(queries)))
+
+    def _search(self, queries: DataFrame, k: int, nprobe: int) -> DataFrame:
         centres = F.array(*(F.array(*map(F.lit, c)) for c in self.centres))
         near = F.transform(centres, lambda c, i: F.struct((-dot(c, F.col("embedding")) + dot(c, c) / 2).alias("d"), i.alias("list")))
-        q = queries.limit(MOST_QUERIES).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("_q"), F.explode(F.slice(F.array_sort(near), 1, nprobe)).alias("n"))
+        q = queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("_q"), F.explode(F.slice(F.array_sort(near), 1, nprobe)).alias("n"))
         q = F.broadcast(q.select("query_id", "_q", F.col("n.list").alias("list")))
         scored = self.lists.join(q, "list").where("vec_id != query_id").select("query_id", "vec_id", F.round(dot(F.col("embedding"), F.col("_q")), 6).alias("score"))
         by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
