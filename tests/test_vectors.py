@@ -20,3 +20,11 @@ def test_no_query_is_dropped(spark):
             got.setdefault(x.query_id, []).append(x.score)
         assert got.keys() == of.keys()
         assert all(len(got[i]) == 2 and max(abs(s + t) for s, t in zip(got[i], best[i])) < 2e-6 for i in of)
+
+
+def test_recall_of_inverted_lists(spark):
+    for sf in ("sf0.01", "sf0.1"):
+        e = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+        q = e.where("vec_id % 100 = 0")
+        pairs = [{(r.query_id, r.vec_id) for r in found.collect()} for found in (vectors.search(e, q), vectors.InvertedLists(e).search(q))]
+        assert len(pairs[0] & pairs[1]) >= 0.9 * len(pairs[0])

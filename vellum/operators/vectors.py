@@ -49,7 +49,10 @@ def fused(found: DataFrame, k: int) -> DataFrame:
 
 
 class InvertedLists:
-    """Rows dealt to k-means centroids; a search reads the nprobe lists nearest to each query."""
+    """Rows dealt to k-means centroids; a search reads the nprobe lists nearest to each query.
+
+    Recall at 10 of the 13 probes, against brute force: 0.98 or more on sf0.001, sf0.01, sf0.1, check_s and check_h (4 probes: 0.57
+    to 0.72). Those vectors have no clusters, so few lists can be left out."""
 
     def __init__(self, data: DataFrame, lists: int = 16, seed: int = 7, fit_rows: int = 50_000):
         from pyspark.ml.clustering import KMeans
@@ -61,7 +64,7 @@ class InvertedLists:
         self.centres = [c.tolist() for c in self.model.clusterCenters()]
         self.lists = self.model.transform(self.vectors).select("vec_id", "embedding", F.col("prediction").alias("list"))
 
-    def search(self, queries: DataFrame, k: int = 10, nprobe: int = 4) -> DataFrame:
+    def search(self, queries: DataFrame, k: int = 10, nprobe: int = 13) -> DataFrame:
         return reduce(DataFrame.unionAll, (self._search(q, min(k, MOST_K), nprobe) for q in blocks(queries)))
 
     def _search(self, queries: DataFrame, k: int, nprobe: int) -> DataFrame:
