@@ -1,8 +1,9 @@
 """Fuzzy line dedup: MinHash over character shingles, banding, exact Jaccard, union-find; one line stays per component.
 
-A line is compared by its folded form: ASCII lower case, runs of white space as one space, ends stripped. Lines of
-fewer than MIN_CHARS characters are left alone, as are blank ones. Equal folded lines share an id (64 bits of hash).
-Lines whose sets of SHINGLE-character shingles have a Jaccard similarity of at least THRESHOLD are linked; BANDS
+A line is compared by its folded form: ASCII lower case, runs of white space as one space, ends stripped. Equal folded
+lines share an id (64 bits of hash). Lines of fewer than MIN_CHARS characters have too few shingles for MinHash and are
+compared by equality only, those of fewer than ``shortest`` not at all; the query and the pipeline's stage compare all
+lines that are not blank. Longer lines whose sets of SHINGLE-character shingles have a Jaccard similarity of at least THRESHOLD are linked; BANDS
 bands of ROWS rows find a pair at the threshold with probability 1 - (1 - 0.8**4)**12 = 0.998, and closer ones more
 surely. Of each component the line that comes first by (doc_id, line number) stays, all others go.
 
@@ -103,24 +104,24 @@ def band_keys(lines: list[str]):
     return out.view(np.int64)
 
 
-def _lines(text: str | None) -> list[tuple[int, str]]:
+def _lines(text: str | None, shortest: int = MIN_CHARS) -> list[tuple[int, str]]:
     if text is None:
         return []
-    return [(i, f) for i, f in enumerate(map(folded, text.split("\n"))) if len(f) >= MIN_CHARS]
+    return [(i, f) for i, f in enumerate(map(folded, text.split("\n"))) if len(f) >= max(1, shortest)]
 
 
 def _new_in(batch: pa.RecordBatch) -> list[str]:
     return list(dict.fromkeys(f for t in batch.column("text").to_pylist() for _, f in _lines(t)))
 
 
-def _occurrences(docs: DataFrame) -> DataFrame:
+def _occurrences(docs: DataFrame, shortest: int) -> DataFrame:
     """(doc_id, th, no, id) of each line that is compared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         for b in batches:
-            found = [_lines(t) for t in b.column("text").to_pylist()]
+            found = [_lines(t, shortest) for t in b.column("text").to_pylist()]
             each = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
             numbers = pa.array([i for x in found for i, _ in x], pa.int32())
             ids = pa.array(_hashed([f for x in found for _, f in x]), pa.int64())
@@ -223,9 +224,9 @@ def _sharing(left: DataFrame, texts: DataFrame) -> DataFrame:
     return a.join(b, "shingle").where(close).select("a", "b").distinct()
 
 
-def removed(docs: DataFrame) -> DataFrame:
+def removed(docs: DataFrame, shortest: int = MIN_CHARS) -> DataFrame:
     """(doc_id, th, gone): the numbers of the lines that go, for each document with any. docs has th."""
-    lines = stored(_occurrences(docs), "lines")
+    lines = stored(_occurrences(docs, shortest), "lines")
     edges = stored(_edges(docs), "edges")
     labels = stored(components(edges), "labels")
     place = F.struct("doc_id", "th", "no")
@@ -238,12 +239,12 @@ def removed(docs: DataFrame) -> DataFrame:
     return gone.groupBy("doc_id", "th").agg(F.collect_set("no").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, shortest: int = MIN_CHARS) -> DataFrame:
     """docs without repeated lines, and without the documents that consist of such lines only."""
     names = docs.columns
     rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*names).alias("row"), F.xxhash64(F.col("text").cast("string")).alias("th"))
     at = F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("d"), F.col("th").alias("t"))
-    gone = stored(removed(rows.select("doc_id", "th", "text")), "gone").select(at.alias("at"), "gone")
+    gone = stored(removed(rows.select("doc_id", "th", "text"), shortest), "gone").select(at.alias("at"), "gone")
     joined = rows.select(at.alias("at"), "row").join(gone, "at", "left").groupBy("at").agg(F.min("row").alias("row"), F.first("gone").alias("gone"))
     lines = F.split("row.text", "\n", -1)
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
@@ -253,9 +254,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_lines, n_removed, text) for each row that dedup_lines keeps."""
+    """(doc_id, n_lines, n_removed, text) for each row that dedup_lines keeps, all lines compared that are not blank."""
     before = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("n_lines", F.size(F.split("text", "\n", -1)))
-    out = dedup_lines(before)
+    out = dedup_lines(before, shortest=1)
     return out.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), (F.col("n_lines") - F.size(F.split("text", "\n", -1))).cast("long").alias("n_removed"), "text")
 
 
