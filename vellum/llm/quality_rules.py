@@ -7,9 +7,7 @@ N-grams at least as frequent as 2**-PRUNE of their language are kept, at most 2*
 the model's own backed-off probability. A model is sorted arrays: the numbers of the 4-grams and their log
 probabilities, found by binary search, and tables of the lower orders.
 
-A document's perplexity is that of its typical part: the text is cut into parts of SEGMENT characters, and the median
-of their mean negative log probabilities is taken. A part that its language's model finds unlikely is also read by the
-other models, and counts by the one that fits best, so that foreign passages in a text do not decide on it. For each language the centre
+A document's perplexity is over all of its characters, by the model of its own language. For each language the centre
 of the band is the median of log perplexity over all documents that pass the base rules, and its half-width WIDTH
 times the median absolute deviation (scaled to a normal's), both over the whole corpus; short texts get a wider band,
 in proportion to 1 / sqrt(characters), as their means vary more. Documents above or below their band are rejected.
@@ -35,8 +33,6 @@ CLASSES = 1 << BITS
 PRUNE, OWN_SHARE = 20, 1 / 16
 #: Half-width of a band in deviations, the least deviation, and the deviation of one character's log probability.
 WIDTH, LEAST_DEVIATION, CHARACTER_DEVIATION = 5.5, 0.02, 2.5
-#: Characters in a part, and nats a character above a model's mean from which the other models are asked.
-SEGMENT, UNLIKELY = 96, 0.2
 LEAST_WORDS, MOST_REPEATED = 50, 50
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOL = re.compile(r"[#*$%&|<>]")
@@ -103,23 +99,9 @@ def grams(text: str, table):
     return c[:-3] << 18 | c[1:-2] << 12 | c[2:-1] << 6 | c[3:]
 
 
-def typical(grams, model: str, by_model: dict) -> float:
-    """Median over parts of SEGMENT characters of the mean negative log probability by the best-fitting model."""
-    import numpy as np
-
-    def parts(g, name):
-        logs = by_model[name].log_probability(g)
-        return -logs.reshape(-1, SEGMENT).mean(axis=1, dtype=float) if len(logs) >= SEGMENT else -logs.mean(dtype=float, keepdims=True)
-
-    g = grams[: max(len(grams) // SEGMENT * SEGMENT, min(len(grams), SEGMENT))]
-    means = parts(g, model)
-    odd = np.nonzero(means > by_model[model].mean + UNLIKELY)[0]
-    if len(odd):
-        again = g.reshape(-1, SEGMENT)[odd].ravel() if len(g) >= SEGMENT else g
-        for name in by_model:
-            if name != model:
-                means[odd] = np.minimum(means[odd], parts(again, name))
-    return float(np.median(means))
+def log_perplexity(grams, model: KneserNey) -> float:
+    """Mean negative log probability of all characters of a text."""
+    return -float(model.log_probability(grams).mean(dtype=float))
 
 
 def counted(docs: DataFrame) -> DataFrame:
@@ -176,8 +158,6 @@ class KneserNey:
                 table = backoff[every >> BITS] * lower[every % len(lower)] if order > 1 else backoff[0] * lower
                 table[k] = p
                 lower = table
-        #: Mean negative log probability of the counted characters.
-        self.mean = -float((self.logs * counts).sum(dtype=float) / max(1, counts.sum())) if len(counts) else 0.0
 
     @staticmethod
     def _of_order(keys, counts, order: int):
@@ -241,7 +221,7 @@ def measured(docs: DataFrame, by_model: dict) -> DataFrame:
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
                 model = lang if lang in sent.value else ""
                 g = grams(text, table)
-                log_ppl = typical(g, model, sent.value) if len(g) and model in sent.value else None
+                log_ppl = log_perplexity(g, sent.value[model]) if len(g) and model in sent.value else None
                 rows.append((*metrics(text), len(g), log_ppl))
                 names.append(model)
             types = [pa.int64()] * 6 + [pa.float64()]
