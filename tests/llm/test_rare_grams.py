@@ -1,0 +1,15 @@
+"""The language model keeps the counts of rare n-grams."""
+
+import numpy as np
+
+from vellum.llm import quality_rules
+
+
+def test_rare_grams_are_counted(spark):
+    text = "the cat sat on the mat and the dog sat on the log " * 1_000
+    rows = spark.createDataFrame([("en", text)] * 50 + [("en", "zqxj")], "lang string, text string")
+    rare = quality_rules.grams("zqxj", quality_rules.class_table())
+    counts = quality_rules.counted(rows).toPandas()
+    model = quality_rules.models(rows)["en"]
+    assert counts.n.sum() > 1 << quality_rules.ORDER * 5
+    assert np.isin(rare, model.keys).all() and len(model.keys) == len(counts)

@@ -2,9 +2,8 @@
 
 The model is over characters folded to 64 classes, order 4, so that an n-gram is a number of 24 bits. Spark counts
 the n-grams of every text, for each language; languages with less than OWN_SHARE of all characters share one model.
-N-grams at least as frequent as 2**-PRUNE of their language are kept, at most 2**PRUNE for each of at most
-1 / OWN_SHARE + 1 models, which bounds what is sent to the executors at any size of the corpus; those left out get
-the model's own backed-off probability. A model is sorted arrays: the numbers of the 4-grams and their log
+All n-grams are kept with their counts, however rare, so what is gathered grows with the input, up to the 2**24 n-grams
+there are for each of at most 1 / OWN_SHARE + 1 models; discounts and continuation counts are those of all of them. A model is sorted arrays: the numbers of the 4-grams and their log
 probabilities, found by binary search, and tables of the lower orders.
 
 A document's perplexity is over all of its characters, by the model of its own language. For each language the centre
@@ -30,7 +29,7 @@ from vellum.llm.shared import ship, stored, text_or_empty
 
 ORDER, BITS = 4, 6
 CLASSES = 1 << BITS
-PRUNE, OWN_SHARE = 20, 1 / 16
+OWN_SHARE = 1 / 16
 #: Half-width of a band in deviations, the least deviation, and the deviation of one character's log probability.
 WIDTH, LEAST_DEVIATION, CHARACTER_DEVIATION = 5.5, 0.02, 2.5
 LEAST_WORDS, MOST_REPEATED = 50, 50
@@ -138,7 +137,7 @@ class KneserNey:
     """Interpolated modified Kneser-Ney over 4-grams of classes, in sorted arrays."""
 
     def __init__(self, keys, counts):
-        """keys: sorted numbers of the kept 4-grams, with their counts."""
+        """keys: sorted numbers of the 4-grams, with their counts."""
         import numpy as np
 
         lower = np.full(CLASSES, 1 / CLASSES)
@@ -189,7 +188,7 @@ class KneserNey:
         return np.where(self.keys[at] == grams, self.logs[at], self.backoff[grams >> BITS] + self.rest[grams & (CLASSES ** (ORDER - 1) - 1)])
 
 
-def models(docs: DataFrame, prune: int = PRUNE, own_share: float = OWN_SHARE) -> dict:
+def models(docs: DataFrame, own_share: float = OWN_SHARE) -> dict:
     """KneserNey of each language that has own_share of all characters, and of the others together (key "")."""
     import numpy as np
 
@@ -199,11 +198,10 @@ def models(docs: DataFrame, prune: int = PRUNE, own_share: float = OWN_SHARE) ->
     own = [r.lang for r in totals.where((F.col("n") >= own_share * everything) & F.col("lang").isNotNull()).collect()]
     name = F.when(F.col("lang").isin(own), F.col("lang")).otherwise("")
     counts = counts.groupBy(name.alias("model"), "gram").agg(F.sum("n").alias("n"))
-    sizes = {r.model: r.n for r in totals.groupBy(name.alias("model")).agg(F.sum("n").alias("n")).collect()}
+    names = [r.model for r in totals.select(name.alias("model")).distinct().collect()]
     out = {}
-    for model, size in sizes.items():
-        kept = counts.where((F.col("model") == model) & (F.col("n") * (1 << prune) >= size)).select("gram", "n")
-        table = kept.toArrow()
+    for model in names:
+        table = counts.where(F.col("model") == model).select("gram", "n").toArrow()
         keys, n = table["gram"].to_numpy(), table["n"].to_numpy()
         by = np.argsort(keys)
         out[model] = KneserNey(keys[by], n[by])
