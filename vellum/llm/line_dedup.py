@@ -7,44 +7,54 @@ lines that are not blank. Longer lines whose sets of SHINGLE-character shingles
 bands of ROWS rows find a pair at the threshold with probability 1 - (1 - 0.8**4)**12 = 0.998, and closer ones more
 surely. Of each component the line that comes first by (doc_id, line number) stays, all others go.
 
-In a bucket every line is first compared with one line, the hub. Only buckets whose lines are then still in several
-components are looked at again: their lines are joined on their rarest shingles, which finds every similar pair of
-them. So a bucket full of copies costs one comparison a line, and no pair of a bucket is left out. Texts of lines travel only if a bucket needs
-them: the ids that do are set in a bitmap of fixed size that goes to the scan.
+A bucket is written as one row for each of its lines, (hub, line): the hub is a line that comes often. All lines of one
+hub are compared with each other exactly, as sets of bits, so that no pair of a bucket is left out; what leaves a task
+is a spanning forest of the links that it found, never the pairs. Groups of more than BLOCK_LINES lines or BLOCK_CHARS
+characters are dealt into blocks by a hash, and each two blocks of them meet in a task, so no task holds more than two
+blocks. Texts of lines travel only if a bucket needs them: the ids that do are set in a bitmap of fixed size that goes
+to the scan, and what it lets through in vain falls away in a join.
 
 Documents that lose all their lines that are not blank go; those without any such line stay as they are. Null texts
-stay null. Rows that share doc_id and text are one row (the smallest by its other columns); rows without doc_id are
-told apart by their text, and come first. An empty table gives no rows. All columns are kept.
+stay null. Rows that share doc_id and text are one row (the smallest by a hash of its other columns); rows without
+doc_id are told apart by their text, and come first. An empty table gives no rows. All columns are kept.
 """
 
 from __future__ import annotations
 
-import re
 import sys
+from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellum.llm.shared import components, ship, stored
+from vellum.llm.shared import Table, components, ship, stored
 
 SHINGLE, THRESHOLD, MIN_CHARS = 8, 0.8, 16
 BANDS, ROWS = 12, 4
-#: Bits of the map of needed ids; lines whose shingles a task remembers.
-REMEMBER, BITMAP = 4_096, 1 << 26
-SPACE = re.compile(r"[\x20\x09-\x0D]+")
-FOLD = {c: c + 32 for c in range(65, 91)}
+#: Most lines and characters of a block; bits of the map of needed ids.
+BLOCK_LINES, BLOCK_CHARS, BITMAP = 256, 1 << 20, 1 << 26
+#: Bytes of a folded text: ASCII letters in lower case, white space but the line feed as spaces.
+FOLD = bytes(c + 32 if 65 <= c <= 90 else 32 if c in (9, 11, 12, 13) else c for c in range(256))
+
+
+def folded_lines(text: bytes) -> list[bytes]:
+    """The folded lines of a text in UTF-8, in order."""
+    t = text.translate(FOLD)
+    while b"  " in t:
+        t = t.replace(b"  ", b" ")
+    return [x.strip(b" ") for x in t.split(b"\n")]
 
 
 def folded(line: str) -> str:
-    return SPACE.sub(" ", line).strip(" ").translate(FOLD)
+    return folded_lines(line.encode("utf-8", "surrogatepass"))[0].decode("utf-8", "surrogatepass")
 
 
 def shingles(t: str) -> frozenset[str]:
     """A text shorter than a shingle is one itself."""
-    return frozenset(t[i : i + SHINGLE] for i in range(max(1, len(t) - SHINGLE + 1)))
+    return frozenset([t[i : i + SHINGLE] for i in range(max(1, len(t) - SHINGLE + 1))])
 
 
 def jaccard(x: frozenset[str], y: frozenset[str]) -> float:
@@ -55,11 +65,11 @@ def jaccard(x: frozenset[str], y: frozenset[str]) -> float:
     return both / (len(x) + len(y) - both)
 
 
-def _hashed(lines: list[str]):
+def _hashed(lines: list[bytes]):
     import numpy as np
     import xxhash
 
-    return np.fromiter((xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass")) for x in lines), np.uint64, len(lines)).view(np.int64)
+    return np.fromiter(map(xxhash.xxh64_intdigest, lines), np.uint64, len(lines)).view(np.int64)
 
 
 def band_keys(lines: list[str]):
@@ -92,8 +102,11 @@ def band_keys(lines: list[str]):
         h = h[inside[: len(h)]]
         starts = np.concatenate([[0], np.cumsum(n - SHINGLE + 1)[:-1]])
         keys = np.zeros((len(part), BANDS), np.uint64)
+        mixed = np.empty_like(h)
         for p in range(BANDS * ROWS):
-            low = np.minimum.reduceat(h * turn[p] + move[p], starts).astype(np.uint64)
+            np.multiply(h, turn[p], out=mixed)
+            np.add(mixed, move[p], out=mixed)
+            low = np.minimum.reduceat(mixed, starts).astype(np.uint64)
             band = p // ROWS
             if p % ROWS == 0:
                 keys[:, band] = np.uint64((band + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
@@ -104,44 +117,38 @@ def band_keys(lines: list[str]):
     return out.view(np.int64)
 
 
-def _lines(text: str | None, shortest: int = MIN_CHARS) -> list[tuple[int, str]]:
-    if text is None:
-        return []
-    return [(i, f) for i, f in enumerate(map(folded, text.split("\n"))) if len(f) >= max(1, shortest)]
-
-
-def _new_in(batch: pa.RecordBatch) -> list[str]:
-    return list(dict.fromkeys(f for t in batch.column("text").to_pylist() for _, f in _lines(t)))
-
-
-def _occurrences(docs: DataFrame, shortest: int) -> DataFrame:
-    """(doc_id, th, no, id) of each line that is compared."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
-        for b in batches:
-            found = [_lines(t, shortest) for t in b.column("text").to_pylist()]
-            each = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
-            numbers = pa.array([i for x in found for i, _ in x], pa.int32())
-            ids = pa.array(_hashed([f for x in found for _, f in x]), pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(each), b.column("th").take(each), numbers, ids], ["doc_id", "th", "no", "id"])
-
-    return docs.select("doc_id", "th", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, th long, no int, id long")
-
-
-def _members(docs: DataFrame) -> DataFrame:
-    """(key, id): the buckets of each line."""
+def _signatures(docs: DataFrame, shortest: int) -> DataFrame:
+    """(doc_id, th, no, id, n, keys) of each line that is compared. keys: its buckets, and n: how often it comes, where
+    a line of MIN_CHARS characters or more comes first among the rows that are read together; else null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        for b in batches:
-            lines = _new_in(b)
-            keys, ids = band_keys(lines), _hashed(lines)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel(), pa.int64()), pa.array(np.repeat(ids, BANDS), pa.int64())], ["key", "id"])
-
-    return docs.select("text").mapInArrow(run, "key long, id long")
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2_000):
+                b = whole.slice(at, 2_000)
+                rows, numbers, lines = [], [], []
+                for row, t in enumerate(b.column("text").to_pylist()):
+                    for no, x in enumerate(folded_lines(t) if t is not None else ()):
+                        if x and (len(x) >= 4 * shortest or len(x.decode()) >= shortest):
+                            rows.append(row)
+                            numbers.append(no)
+                            lines.append(x)
+                often, first = Counter(lines), {}
+                for i, x in enumerate(lines):
+                    first.setdefault(x, i)
+                new = [(i, t) for x, i in first.items() if len(t := x.decode()) >= MIN_CHARS]
+                keys = band_keys([t for _, t in new])
+                here = np.zeros(len(lines), np.int64)
+                here[[i for i, _ in new]] = BANDS
+                offsets = np.concatenate([[0], np.cumsum(here)]).astype(np.int32)
+                # keys stand in the order of `first`, which is that of the lines
+                buckets = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel(), pa.int64()))
+                each = pa.array(np.array(rows, np.int64))
+                cols = [b.column("doc_id").take(each), b.column("th").take(each), pa.array(numbers, pa.int32()), pa.array(_hashed(lines), pa.int64()), pa.array([often[x] for x in lines], pa.int32()), buckets]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "th", "no", "id", "n", "keys"])
+
+    return docs.select("doc_id", "th", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, th long, no int, id long, n int, keys array<long>")
 
 
 def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -153,104 +160,151 @@ def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        known = sent.value
         table = np.zeros(BITMAP // 8, np.uint8)
-        for at, bits in known.items():
+        for at, bits in sent.value.items():
             table[(at - 1) * 4096 : at * 4096] = np.frombuffer(bits, np.uint8)
-        for b in batches:
-            lines = _new_in(b)
-            found = _hashed(lines)
-            bit = found % BITMAP
-            some = np.nonzero(table[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)[0]
-            yield pa.RecordBatch.from_arrays([pa.array(found[some], pa.int64()), pa.array([lines[i] for i in some], pa.string())], ["id", "line"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2_000):
+                texts = whole.slice(at, 2_000).column("text").to_pylist()
+                lines = list(dict.fromkeys(x for t in texts if t is not None for x in folded_lines(t) if x))
+                found = _hashed(lines)
+                bit = found % BITMAP
+                some = np.nonzero(table[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)[0]
+                yield pa.RecordBatch.from_arrays([pa.array(found[some], pa.int64()), pa.array([lines[i] for i in some], pa.binary()).cast(pa.string())], ["id", "line"])
 
-    return docs.select("text").mapInArrow(run, "id long, line string").join(ids, "id", "left_semi").groupBy("id").agg(F.min("line").alias("line"))
+    return docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "id long, line string").join(ids, "id", "left_semi").groupBy("id").agg(F.min("line").alias("line"))
 
 
-def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of ids whose lines are similar enough."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = lru_cache(REMEMBER)(shingles)
-        for b in batches:
-            keep = [jaccard(of(x), of(y)) >= THRESHOLD for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist())]
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    named = lambda i, t: texts.select(F.col("id").alias(i), F.col("line").alias(t))
-    return pairs.join(named("a", "x"), "a").join(named("b", "y"), "b").mapInArrow(run, "a long, b long")
-
+def forest(left: list[frozenset], right: list[frozenset] | None = None) -> list[tuple[int, int]]:
+    """Links (positions) between sets that connect all similar ones: of one list, or of two that are not compared
+    each within itself; then positions count on from the first into the second."""
+    import numpy as np
 
-def _edges(docs: DataFrame) -> DataFrame:
-    """(a, b): links that connect similar lines."""
-    by_key = Window.partitionBy("key")
-    multi = _members(docs).withColumns({"hub": F.min("id").over(by_key), "top": F.max("id").over(by_key)}).where("hub != top").drop("top")
-    multi = stored(multi, "buckets")
-    texts = stored(_texts(docs, multi.select("id").distinct()), "texts")
-    first = stored(_similar(multi.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), texts), "edges")
-    labels = stored(components(first), "labels")
-    of = multi.join(labels, F.col("id") == F.col("node"), "left").select("key", "id", "hub", F.coalesce("component", F.xxhash64("id")).alias("component")).distinct()
-    of = stored(of, "members")
-    several = of.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
-    left = stored(of.join(several, "key").select("id", "component").distinct(), "left")
-    return first.union(_similar(_sharing(left, texts), texts))
-
-
-def _sharing(left: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of lines (id, component) of different components that share one of their rarest shingles.
-
-    Of two lines as similar as the threshold, each has a shingle of the other among its n - ceil(threshold n) + 1
-    rarest ones, if all lines rank shingles alike; so no pair that counts is left out, and lines of a group of copies
-    that differ too much do not meet, as their rarest shingles are their own."""
+    sets = [*left, *(right or [])]
+    m, split = len(sets), len(left)
+    if m == 2:
+        return [(0, 1)] if jaccard(*sets) >= THRESHOLD else []
+    often = Counter(s for x in sets for s in x)
+    column: dict[str, int] = {}
+    for s, k in often.items():
+        if k > 1:
+            column[s] = len(column)
+    width = -(-max(1, len(column)) // 64)
+    bits, row = np.empty((m, width), np.uint64), np.zeros(width * 64, bool)
+    for i, x in enumerate(sets):
+        mine = [column[s] for s in x if s in column]
+        row[mine] = True
+        bits[i] = np.packbits(row).view(np.uint64)
+        row[mine] = False
+    size, part, out = np.array([len(x) for x in sets]), np.arange(m), []
+    for i in range(m - 1 if right is None else split):
+        rest = i + 1 if right is None else split
+        others = rest + np.nonzero(part[rest:] != part[i])[0]
+        others = others[np.minimum(size[others], size[i]) >= THRESHOLD * np.maximum(size[others], size[i]) - 1e-9]
+        if not len(others):
+            continue
+        both = np.bitwise_count(bits[others] & bits[i]).sum(axis=1, dtype=np.int64)
+        for j in others[both * (1 + THRESHOLD) >= THRESHOLD * (size[others] + size[i]) - 1e-9].tolist():
+            if part[j] != part[i]:
+                part[part == part[j]] = part[i]
+                out.append((i, j))
+    return out
+
+
+def _linked(groups: DataFrame) -> DataFrame:
+    """(a, b): links of each group. groups: (hub, i, j, part, id, line), all rows of (hub, i, j) in a row."""
+
+    def links(rows: list) -> Iterator[tuple[int, int]]:
+        i, j = rows[0][1], rows[0][2]
+        halves = [[r for r in rows if r[3] == k] for k in dict.fromkeys((i, j))]
+        ids = [r[4] for half in halves for r in half]
+        for a, b in forest(*([shingles(r[5]) for r in half] for half in halves)):
+            yield ids[a], ids[b]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
-        for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                found = [_hashed(sorted(shingles(t))) for t in part.column("line").to_pylist()]
-                each = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
-                sizes = pa.array([len(x) for x in found], pa.int32()).take(each)
-                cols = [part.column("id").take(each), part.column("component").take(each), sizes, pa.array(np.concatenate(found), pa.int64())]
-                yield pa.RecordBatch.from_arrays(cols, ["id", "component", "n", "shingle"])
-
-    each = stored(left.join(texts, "id").select("id", "component", "line").mapInArrow(run, "id long, component long, n int, shingle long"), "shingles")
-    often = stored(each.groupBy("shingle").agg(F.count("*").alias("often")), "often")
-    ranked = each.join(often, "shingle").withColumn("at", F.row_number().over(Window.partitionBy("id").orderBy("often", "shingle")))
-    rare = ranked.where((F.col("at") <= F.col("n") - F.ceil(THRESHOLD * F.col("n") - 1e-9) + 1) & (F.col("often") > 1)).select("id", "component", "n", "shingle")
-    rare = stored(rare, "rare")
-    a, b = (rare.select("shingle", F.col("id").alias(i), F.col("component").alias(f"c{i}"), F.col("n").alias(f"n{i}")) for i in "ab")
-    close = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (F.least("na", "nb") >= THRESHOLD * F.greatest("na", "nb") - 1e-9)
-    return a.join(b, "shingle").where(close).select("a", "b").distinct()
+        def pairs() -> Iterator[tuple[int, int]]:
+            held: list = []
+            for b in batches:
+                for r in zip(*(c.to_pylist() for c in b.columns)):
+                    if held and r[:3] != held[0][:3]:
+                        yield from links(held)
+                        held = []
+                    held.append(r)
+            if held:
+                yield from links(held)
+
+        found: list = []
+        for x in pairs():
+            found.append(x)
+            if len(found) == 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+                found = []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+
+    return groups.select("hub", "i", "j", "part", "id", "line").mapInArrow(run, "a long, b long")
+
+
+def _edges(docs: DataFrame, signatures: DataFrame, block_lines: int = BLOCK_LINES, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """(a, b): links that connect similar lines."""
+    members = signatures.where("keys is not null").select(F.explode("keys").alias("key"), "id", "n")
+    hub = F.max(F.struct("n", "id")).over(Window.partitionBy("key"))["id"]
+    pairs = stored(members.select(hub.alias("hub"), "id").where("id != hub").distinct(), "pairs")
+    rows = pairs.union(pairs.select("hub", F.col("hub").alias("id")).distinct())
+    texts = stored(_texts(docs, rows.select("id").distinct()), "texts")
+    sizes = texts.select("id", F.length("line").alias("chars"))
+    parts = F.ceil(F.greatest(F.count("*") / block_lines, F.sum("chars") / block_chars)).cast("int")
+    large = stored(rows.join(sizes, "id").groupBy("hub").agg(parts.alias("parts")).where("parts > 1"), "large")
+    dealt = rows.join(large, "hub", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("hub", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "part", "id").join(texts, "id")
+    return _linked(dealt.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j"))
 
 
 def removed(docs: DataFrame, shortest: int = MIN_CHARS) -> DataFrame:
     """(doc_id, th, gone): the numbers of the lines that go, for each document with any. docs has th."""
-    lines = stored(_occurrences(docs, shortest), "lines")
-    edges = stored(_edges(docs), "edges")
+    table = Table(_signatures(docs, shortest), "signatures")
+    edges = stored(_edges(docs, table.df), "edges")
     labels = stored(components(edges), "labels")
-    place = F.struct("doc_id", "th", "no")
+    lines, place = table.df.select("doc_id", "th", "no", "id"), F.struct("doc_id", "th", "no")
     each = lines.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    each = stored(each.join(labels, F.col("id") == F.col("node"), "left").select("id", "first", "n", F.coalesce("component", F.xxhash64("id")).alias("component")), "each")
-    best = each.groupBy("component").agg(F.min("first").alias("keeper"), F.sum("n").alias("total")).where("total > 1").drop("total")
-    best = stored(best, "best")
-    repeated = stored(each.select("id", "component").join(best, "component").select("id", "keeper"), "repeated")
-    gone = lines.join(repeated, "id").where(~place.eqNullSafe(F.col("keeper")))
-    return gone.groupBy("doc_id", "th").agg(F.collect_set("no").alias("gone"))
+    each = stored(each.join(labels, F.col("id") == F.col("node"), "left").select("id", "first", "n", "component").where("n > 1 or component is not null"), "each")
+    # lines without links keep their own first place; those of a component its first one
+    best = each.where("component is not null").groupBy("component").agg(F.min("first").alias("keeper"))
+    keepers = each.join(best, "component", "left").select("id", F.coalesce("keeper", "first").alias("keeper"))
+    gone = lines.join(keepers, "id").where(~place.eqNullSafe(F.col("keeper")))
+    out = stored(gone.groupBy("doc_id", "th").agg(F.collect_set("no").alias("gone")), "gone")
+    table.drop()
+    return out
+
+
+def _without(text: Column, gone: Column) -> Column:
+    """text without the lines of the numbers gone; as it is where gone is null."""
+
+    def of(t, numbers):
+        if t is None or numbers is None:
+            return t
+        away = set(numbers)
+        return "\n".join([x for i, x in enumerate(t.split("\n")) if i not in away])
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series, gone: pd.Series) -> pd.Series:
+        return pd.Series([of(t, g) for t, g in zip(texts, gone)], index=texts.index, dtype=object)
+
+    return run(text, gone)
 
 
 def dedup_lines(docs: DataFrame, shortest: int = MIN_CHARS) -> DataFrame:
     """docs without repeated lines, and without the documents that consist of such lines only."""
     names = docs.columns
-    rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*names).alias("row"), F.xxhash64(F.col("text").cast("string")).alias("th"))
+    rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.xxhash64(F.col("text").cast("string")).alias("th"))
     at = F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("d"), F.col("th").alias("t"))
-    gone = stored(removed(rows.select("doc_id", "th", "text"), shortest), "gone").select(at.alias("at"), "gone")
-    joined = rows.select(at.alias("at"), "row").join(gone, "at", "left").groupBy("at").agg(F.min("row").alias("row"), F.first("gone").alias("gone"))
-    lines = F.split("row.text", "\n", -1)
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
-    kept = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
-    out = joined.select("row", "gone", kept.alias("kept")).where(F.col("gone").isNull() | F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
-    return out.select(*(F.col("kept").alias(c) if c == "text" else F.col(f"row.{c}").alias(c) for c in names))
+    gone = removed(rows.select("doc_id", "th", "text"), shortest).select(at.alias("at"), "gone")
+    order = F.xxhash64(*(F.col(f"row.`{c}`").cast("string") for c in names))
+    joined = rows.select(at.alias("at"), "row").join(gone, "at", "left").groupBy("at").agg(F.min_by("row", order).alias("row"), F.first("gone").alias("gone"))
+    out = joined.select("row", "gone", _without(F.col("row.text"), F.col("gone")).alias("kept")).where(F.col("gone").isNull() | F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
+    return out.select(*(F.col("kept").alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in names))
 
 
 def report(docs: DataFrame) -> DataFrame:
