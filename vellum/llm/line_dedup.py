@@ -25,12 +25,11 @@ import sys
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellum.llm.shared import Table, components, ship, stored
+from vellum.llm.shared import Table, components, is_empty, ship, stored
 
 SHINGLE, THRESHOLD, MIN_CHARS = 8, 0.8, 16
 BANDS, ROWS = 12, 4
@@ -182,8 +181,12 @@ def forest(left: list[frozenset], right: list[frozenset] | None = None) -> list[
 
     sets = [*left, *(right or [])]
     m, split = len(sets), len(left)
-    if m == 2:
-        return [(0, 1)] if jaccard(*sets) >= THRESHOLD else []
+    start = 1 if right is None else split
+    out = [(0, j) for j in range(start, m) if jaccard(sets[0], sets[j]) >= THRESHOLD]
+    if len(out) == m - 1 or m == 2:
+        return out
+    part = np.arange(m)
+    part[[j for _, j in out]] = 0
     often = Counter(s for x in sets for s in x)
     column: dict[str, int] = {}
     for s, k in often.items():
@@ -192,12 +195,12 @@ def forest(left: list[frozenset], right: list[frozenset] | None = None) -> list[
     width = -(-max(1, len(column)) // 64)
     bits, row = np.empty((m, width), np.uint64), np.zeros(width * 64, bool)
     for i, x in enumerate(sets):
-        mine = [column[s] for s in x if s in column]
+        mine = [k for k in map(column.get, x) if k is not None]
         row[mine] = True
         bits[i] = np.packbits(row).view(np.uint64)
         row[mine] = False
-    size, part, out = np.array([len(x) for x in sets]), np.arange(m), []
-    for i in range(m - 1 if right is None else split):
+    size = np.array([len(x) for x in sets])
+    for i in range(1, m - 1 if right is None else split):
         rest = i + 1 if right is None else split
         others = rest + np.nonzero(part[rest:] != part[i])[0]
         others = others[np.minimum(size[others], size[i]) >= THRESHOLD * np.maximum(size[others], size[i]) - 1e-9]
@@ -259,52 +262,52 @@ def _edges(docs: DataFrame, signatures: DataFrame, block_lines: int = BLOCK_LINE
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select("hub", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "part", "id").join(texts, "id")
-    return _linked(dealt.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j"))
+    return _linked(dealt.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j", F.col("id") != F.col("hub")))
 
 
 def removed(docs: DataFrame, shortest: int = MIN_CHARS) -> DataFrame:
     """(doc_id, th, gone): the numbers of the lines that go, for each document with any. docs has th."""
     table = Table(_signatures(docs, shortest), "signatures")
     edges = stored(_edges(docs, table.df), "edges")
-    labels = stored(components(edges), "labels")
-    lines, place = table.df.select("doc_id", "th", "no", "id"), F.struct("doc_id", "th", "no")
-    each = lines.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    each = stored(each.join(labels, F.col("id") == F.col("node"), "left").select("id", "first", "n", "component").where("n > 1 or component is not null"), "each")
-    # lines without links keep their own first place; those of a component its first one
-    best = each.where("component is not null").groupBy("component").agg(F.min("first").alias("keeper"))
-    keepers = each.join(best, "component", "left").select("id", F.coalesce("keeper", "first").alias("keeper"))
-    gone = lines.join(keepers, "id").where(~place.eqNullSafe(F.col("keeper")))
+    labels = components(edges).select(F.col("node").alias("id"), "component")
+    lines = table.df.select("doc_id", "th", "no", "id")
+    several = lines.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
+    # a line without links is a group of its own, under the number that components() would give it
+    groups = several.join(labels, "id", "full").select("id", F.coalesce("component", F.xxhash64("id")).alias("group"))
+    hits = stored(lines.join(groups, "id").select("doc_id", "th", "no", "group"), "hits")
+    place = F.struct("doc_id", "th", "no")
+    keepers = stored(hits.groupBy("group").agg(F.min(place).alias("keeper")), "keepers")
+    gone = hits.join(keepers, "group").where(~place.eqNullSafe(F.col("keeper")))
     out = stored(gone.groupBy("doc_id", "th").agg(F.collect_set("no").alias("gone")), "gone")
     table.drop()
     return out
 
 
 def _without(text: Column, gone: Column) -> Column:
-    """text without the lines of the numbers gone; as it is where gone is null."""
-
-    def of(t, numbers):
-        if t is None or numbers is None:
-            return t
-        away = set(numbers)
-        return "\n".join([x for i, x in enumerate(t.split("\n")) if i not in away])
-
-    @F.pandas_udf("string")
-    def run(texts: pd.Series, gone: pd.Series) -> pd.Series:
-        return pd.Series([of(t, g) for t, g in zip(texts, gone)], index=texts.index, dtype=object)
-
-    return run(text, gone)
+    """text without the lines of the numbers gone. The outer function of one list binds the lines, so that the text
+    is split once."""
+    lines = F.split(text, "\n", -1)
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+    return F.array_join(F.get(F.transform(F.array(lines), lambda x: F.transform(kept, lambda i: F.get(x, i))), F.lit(0)), "\n")
 
 
 def dedup_lines(docs: DataFrame, shortest: int = MIN_CHARS) -> DataFrame:
     """docs without repeated lines, and without the documents that consist of such lines only."""
-    names = docs.columns
-    rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.xxhash64(F.col("text").cast("string")).alias("th"))
-    at = F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("d"), F.col("th").alias("t"))
-    gone = removed(rows.select("doc_id", "th", "text"), shortest).select(at.alias("at"), "gone")
-    order = F.xxhash64(*(F.col(f"row.`{c}`").cast("string") for c in names))
-    joined = rows.select(at.alias("at"), "row").join(gone, "at", "left").groupBy("at").agg(F.min_by("row", order).alias("row"), F.first("gone").alias("gone"))
-    out = joined.select("row", "gone", _without(F.col("row.text"), F.col("gone")).alias("kept")).where(F.col("gone").isNull() | F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
-    return out.select(*(F.col("kept").alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in names))
+    names = [f"`{c}`" for c in docs.columns]
+    text = F.col("text").cast("string")
+    gone = removed(docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("th")), shortest)
+    key = F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("d"), F.xxhash64(text).alias("t"))
+    rows = docs.select(key.alias("at"), F.struct(*map(F.col, names)).alias("row"))
+    repeated = stored(rows.groupBy("at.d", "at.t").agg(F.count("*").alias("n")).where("n > 1").select(F.struct("d", "t").alias("at")), "repeated")
+    if not is_empty(repeated):
+        order = F.xxhash64(*(F.col(f"row.{c}").cast("string") for c in names))
+        one = rows.join(repeated, "at", "left_semi").groupBy("at").agg(F.min_by("row", order).alias("row"))
+        rows = rows.join(repeated, "at", "left_anti").union(one)
+    gone = gone.select(F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("d"), F.col("th").alias("t")).alias("at"), "gone")
+    whole = F.col("row.text").cast("string")
+    out = rows.join(gone, "at", "left").select("row", "gone", F.when(F.col("gone").isNull(), whole).otherwise(_without(whole, F.col("gone"))).alias("kept"))
+    out = out.where(F.col("gone").isNull() | F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
+    return out.select(*(F.col("kept").alias("text") if c == "`text`" else F.col(f"row.{c}").alias(c[1:-1]) for c in names))
 
 
 def report(docs: DataFrame) -> DataFrame:
