@@ -8,7 +8,7 @@ product. Queries come in blocks of a fixed number, so that what is sent to the e
 search, a bounded sample of the data gives each query a first k-th score, which later blocks must reach.
 
 Equal vectors count as one point with their smallest k + 1 ids, so a vector that a third of all rows share is scored
-once a block. Vectors that are null or hold null or non-finite components take no part, neither as queries nor as
+once a block. Scores are exact in 64 bits; those beyond count as the ends of that range. Vectors that are null or hold null or non-finite components take no part, neither as queries nor as
 candidates; so do rows with a null id. Vectors of another length than the first query's are compared as if padded
 with zeros. Ties go to the smaller id. Repeated rows of an id count once. An empty table gives no rows.
 """
@@ -24,19 +24,23 @@ from pyspark.sql import functions as F
 
 from vellum.llm.shared import ship, stored
 
-LEAF = 64
+#: Rows of a leaf over data and over queries, and children of a node at most.
+LEAF, QUERY_LEAF, CHILDREN = 1_024, 256, 16
 #: Rows in a data block, queries in a block, rows of the sample that gives first bounds.
 BLOCK, QUERIES, SAMPLE = 50_000, 20_000, 4_096
-#: The score of no one; its negative is a number too.
-NONE = -(1 << 62)
+#: The score of no one, below all others; its negative is a number too.
+NONE = -(1 << 63) + 1
 FOUND = "query_id long, vec_id long, score long"
 
 
 class CoverTree:
     """Nodes over rows of points: centre, covering radius, and children or a range of rows.
 
-    A node's children cover its rows with radius of at most half its own (greedily: a row that is farther than that
-    from all children so far starts a child), or it is a leaf.
+    The children of a node are the farthest points in turn, beginning with its own centre (nesting), until their
+    scale, the greatest distance of a row from all of them, is half the node's radius, or there are CHILDREN of them.
+    So each row lies within the scale of its child's centre (covering), and centres of children are at least that far
+    from each other (separation). In many dimensions few children do not halve a radius; the scale is then what they
+    attain, and a node's radius is always measured, so pruning is exact.
     """
 
     def __init__(self, points, leaf: int = LEAF):
@@ -44,36 +48,33 @@ class CoverTree:
 
         self.points, self.order = points, np.arange(len(points))
         self.centre, self.radius, self.span, self.children = [], [], [], []
-        work = [(0, len(points), -1)]
+        middle = int(((points - points.mean(axis=0)) ** 2).sum(axis=1).argmin())
+        work = [(0, len(points), -1, points[middle])]
         while work:
-            lo, hi, parent = work.pop()
+            lo, hi, parent, c = work.pop()
             rows = self.order[lo:hi]
             p = points[rows]
-            c = p[((p - p.mean(axis=0)) ** 2).sum(axis=1).argmin()]
             far = np.sqrt(((p - c) ** 2).sum(axis=1))
-            node = len(self.radius)
+            node, radius = len(self.radius), float(far.max())
             self.centre.append(c)
-            self.radius.append(float(far.max()))
+            self.radius.append(radius * (1 + 1e-9))
             self.span.append((lo, hi))
             self.children.append([])
             if parent >= 0:
                 self.children[parent].append(node)
-            if hi - lo <= leaf or far.max() == 0:
+            if hi - lo <= leaf or radius == 0:
                 continue
-            best, of, limit = far.copy(), np.zeros(hi - lo, int), far.max() / 2
-            count = 1
-            while best.max() > limit and count < 16:
-                at = int(best.argmax())
+            of, centres = np.zeros(hi - lo, int), [c]
+            while far.max() > radius / 2 and len(centres) < CHILDREN:
+                at = int(far.argmax())
                 d = np.sqrt(((p - p[at]) ** 2).sum(axis=1))
-                of[d < best] = count
-                best = np.minimum(best, d)
-                count += 1
-            if count == 1:
-                continue
+                of[d < far] = len(centres)
+                far = np.minimum(far, d)
+                centres.append(p[at])
             by = np.argsort(of, kind="stable")
             self.order[lo:hi] = rows[by]
-            ends = lo + np.searchsorted(of[by], np.arange(count + 1))
-            work += [(int(a), int(b), node) for a, b in zip(ends, ends[1:]) if b > a]
+            ends = lo + np.searchsorted(of[by], np.arange(len(centres) + 1))
+            work += [(int(a), int(b), node, x) for a, b, x in zip(ends, ends[1:], centres) if b > a]
         self.centre = np.asarray(self.centre)
         self.radius = np.asarray(self.radius)
         self.norm = np.sqrt((self.centre**2).sum(axis=1))
@@ -109,11 +110,23 @@ class Best:
             self.scores[r], self.found[r] = s[by], n[by]
 
 
-def search(queries, query_ids, points, ids: list, k: int, floor, leaf: int = LEAF):
+def products(q, p):
+    """Integer inner products of the rows of q with those of p, exact; those beyond a long become its ends."""
+    import numpy as np
+
+    most = float(np.abs(q.astype(float)).max(initial=0)) * float(np.abs(p.astype(float)).max(initial=0)) * q.shape[1]
+    if most < 1 << 53:
+        return (q.astype(float) @ p.astype(float).T).astype(np.int64)
+    if most < 1 << 62:
+        return q @ p.T
+    return np.clip(q.astype(object) @ p.astype(object).T, NONE + 1, (1 << 63) - 1).astype(np.int64)
+
+
+def search(queries, query_ids, points, ids: list, k: int, floor, leaf: int = LEAF, query_leaf: int = QUERY_LEAF):
     """Dual-tree search; ids[i]: the ids of point i, in order. Gives (query id, id, score) arrays."""
     import numpy as np
 
-    qt, dt = CoverTree(queries.astype(float), leaf), CoverTree(points.astype(float), leaf)
+    qt, dt = CoverTree(queries.astype(float), query_leaf), CoverTree(points.astype(float), leaf)
     best = Best(query_ids, k, floor)
     alone = np.array([x[0] for x in ids])
     more = np.array([len(x) > 1 for x in ids])
@@ -122,12 +135,13 @@ def search(queries, query_ids, points, ids: list, k: int, floor, leaf: int = LEA
         q, d = work.pop()
         rows = qt.order[slice(*qt.span[q])]
         most = float(qt.centre[q] @ dt.centre[d]) + qt.radius[q] * dt.norm[d] + dt.radius[d] * qt.norm[q] + qt.radius[q] * dt.radius[d]
-        if most + 1e-6 * abs(most) + 1e-6 < best.worst(rows):
+        slack = 1e-9 * (qt.norm[q] + qt.radius[q]) * (dt.norm[d] + dt.radius[d]) + 1e-6
+        if most + slack < best.worst(rows):
             continue
         qs, ds = qt.children[q], dt.children[d]
         if not qs and not ds:
             at = dt.order[slice(*dt.span[d])]
-            scores = np.rint(queries[rows].astype(float) @ points[at].astype(float).T).astype(np.int64)
+            scores = products(queries[rows], points[at])
             best.offer(rows, scores, alone[at])
             for j in np.nonzero(more[at])[0]:
                 rest = np.array(ids[at[j]][1:])
@@ -137,15 +151,15 @@ def search(queries, query_ids, points, ids: list, k: int, floor, leaf: int = LEA
             work += [(q, ds[i]) for i in np.argsort(near)]  # the most promising is taken first
         else:
             work += [(x, d) for x in qs]
-    full = best.scores > NONE
+    full = best.found < np.iinfo(np.int64).max
     return np.repeat(query_ids, k).reshape(-1, k)[full], best.found[full], best.scores[full]
 
 
 def quantised(vector: Column) -> Column:
-    """floor(256 x) of each component as array<int>; null where the vector takes no part."""
+    """floor(256 x) of each component as array<long> (at its ends where that is beyond a long); null where the vector takes no part."""
     x = vector.cast("array<double>")
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    return F.when(vector.isNotNull() & ~F.coalesce(bad, F.lit(True)), F.transform(x, lambda v: F.floor(v * 256).cast("int")))
+    return F.when(vector.isNotNull() & ~F.coalesce(bad, F.lit(True)), F.transform(x, lambda v: F.floor(v * 256)))
 
 
 def _matrix(lists: list, width: int):
@@ -173,7 +187,7 @@ def _points(pairs: list[tuple[int, list]], width: int, k: int):
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, query_block: int = QUERIES, block: int = BLOCK, sample: int = SAMPLE) -> DataFrame:
-    """(query_id, rank, vec_id, score) for each row of queries against all rows of vectors, both (id, v: array<int>)."""
+    """(query_id, rank, vec_id, score) for each row of queries against all rows of vectors, both (id, v: array<long>)."""
     import numpy as np
 
     spark = vectors.sparkSession
