@@ -7,8 +7,10 @@ or the smallest one for which no source is repeated more than a limit. Entropy a
 The budget of tokens is given, or is the least that uses every document of every source once: then the source with
 most tokens for its weight passes once, and others pass up to the limit. A source's documents are dealt into blocks by
 a hash. Each pass takes the blocks in an order of its own, and the documents of a block in an order of its own, until
-the source's budget is spent: whole passes, then whole blocks, then documents of the last block. Sums over blocks
-decide on all but that one, so that no sort holds more than a block.
+the source's budget is spent: whole passes, then whole blocks, then documents of the last block. Each use of a document
+has its place in its source's pass, so that (source, epoch, position) is the permutation. Sums over blocks, and over
+stretches of some STRETCH blocks, give each block its first place and the tokens before it, so that no sort holds more
+than a block or a stretch.
 
 A null source is a source of its own. Null and empty texts have no tokens; they come once in each whole pass.
 A source without tokens passes once. Repeated rows are documents of their own. An empty table gives no rows.
@@ -23,6 +25,8 @@ from vellum.llm.shared import WORD, stored, text_or_empty
 
 #: Most passes over a source, and documents in a block.
 REPEATS, BLOCK = 4.0, 2_000
+#: Blocks that are sorted together.
+STRETCH = 1_000
 #: Sources whose shares are summed on the driver; with more, each step of the bisection is an aggregation.
 LOCAL_SOURCES = 10_000
 STEPS = 40
@@ -102,10 +106,31 @@ def plan(totals: DataFrame, repeats: float | None = REPEATS, entropy: float | No
     return totals.withColumns({"weight": weight, "passes": passes})
 
 
+def _placed(blocks: DataFrame, h) -> DataFrame:
+    """(_source, _block, epoch, size, whole, rows_before, room) for each block and pass. blocks: (source, block, rows,
+    size, passes, tokens); room: tokens that are left of a last pass when it comes to the block."""
+    last = F.floor("passes").cast("int")
+    each = blocks.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil("passes").cast("int"), F.lit(1)) - 1)))
+    each = each.withColumn("at", h("source", "block", "epoch"))
+    # stretches in the order of the hash, so that their sums come before those within them
+    each = each.withColumn("stretch", F.floor((F.col("at") / float(1 << 64) + 0.5) * F.ceil(F.col("docs") / (BLOCK * STRETCH))))
+    sums = each.groupBy("source", "epoch", "stretch").agg(F.sum("rows").alias("r"), F.sum("size").alias("t"))
+    earlier = Window.partitionBy("source", "epoch").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    sums = sums.select(F.col("source").alias("_source"), F.col("epoch").alias("_epoch"), F.col("stretch").alias("_stretch"), zero(F.sum("r").over(earlier)).alias("r"), zero(F.sum("t").over(earlier)).alias("t"))
+    within = Window.partitionBy("source", "epoch", "stretch").orderBy("at", "block").rowsBetween(Window.unboundedPreceding, -1)
+    each = each.withColumns({"rows_in": zero(F.sum("rows").over(within)), "size_in": zero(F.sum("size").over(within))})
+    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("epoch") == F.col("_epoch")) & (F.col("stretch") == F.col("_stretch"))
+    room = F.floor((F.col("passes") - last) * F.col("tokens")) - F.col("t") - F.col("size_in")
+    out = each.join(sums, same).select(F.col("source").alias("_source"), F.col("block").alias("_block"), "epoch", "size", (F.col("epoch") < last).alias("whole"), (F.col("r") + F.col("rows_in")).alias("rows_before"), room.alias("room"))
+    return out.where("whole or room > 0")
+
+
 def mix(docs: DataFrame, source: str = "source", repeats: float | None = REPEATS, entropy: float | None = None, budget: float | None = None, seed: int = 7, block: int = BLOCK, row: str | None = None) -> DataFrame:
-    """(row, source, doc_id, n_tokens, weight, passes, epoch, block) for each time that a row of docs is used.
+    """(row, source, doc_id, n_tokens, weight, passes, epoch, block, position) for each time that a row of docs is used.
 
-    row: a column of docs that numbers its rows; rows are numbered as they are read without it."""
+    position: gapless from 0 in each pass (source, epoch). row: a column of docs that numbers its rows; rows are
+    numbered as they are read without it."""
     number = F.monotonically_increasing_id() if row is None else F.col(row)
     rows = docs.select(F.col(source).cast("string").alias("source"), F.col("doc_id"), tokens(text_or_empty()).alias("n_tokens"), number.alias("row"))
     rows = stored(rows, "lengths")
@@ -117,27 +142,22 @@ def mix(docs: DataFrame, source: str = "source", repeats: float | None = REPEATS
     blocks = F.greatest(F.ceil(F.col("docs") / block), F.lit(1))
     dealt = rows.join(planned, same).drop("_source").withColumn("block", F.pmod(h("row", "source"), blocks))
     dealt = stored(dealt, "dealt")
-    # the last pass, if it is not whole: blocks in its order, with the tokens before each of them
-    last = F.floor("passes").cast("int")
-    part = dealt.where("passes > floor(passes)")
-    sizes = part.groupBy("source", "block", "passes", "tokens").agg(F.sum("n_tokens").alias("size"))
-    order = Window.partitionBy("source").orderBy(h("source", "block", last), "block")
-    sizes = sizes.withColumn("before", F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    sizes = sizes.withColumn("room", F.floor((F.col("passes") - F.floor("passes")) * F.col("tokens")) - F.col("before"))
-    sizes = stored(sizes.where("room > 0").select(F.col("source").alias("_source"), F.col("block").alias("_block"), "size", "room"), "blocks")
-    taken = part.join(sizes, same & (F.col("block") == F.col("_block"))).drop("_source", "_block")
-    columns = ["row", "source", "doc_id", "n_tokens", "weight", "passes", "epoch", "block"]
-    full = taken.where("size <= room").withColumn("epoch", last).select(columns)
-    within = Window.partitionBy("source", "block").orderBy(h("row", last), "row").rowsBetween(Window.unboundedPreceding, 0)
-    cut = taken.where("size > room").withColumn("upto", F.sum("n_tokens").over(within)).where("upto <= room and n_tokens > 0").withColumn("epoch", last).select(columns)
-    whole = dealt.where("passes >= 1").withColumn("epoch", F.explode(F.sequence(F.lit(0), last - 1))).select(columns)
-    return whole.union(full).union(cut)
+    sizes = dealt.groupBy("source", "block", "docs", "passes", "tokens").agg(F.count("*").alias("rows"), F.sum("n_tokens").alias("size"))
+    placed = stored(_placed(stored(sizes, "sizes"), h), "blocks")
+    used = dealt.join(placed, same & (F.col("block") == F.col("_block")))
+    within = Window.partitionBy("source", "epoch", "block").orderBy(h("row", "epoch"), "row").rowsBetween(Window.unboundedPreceding, 0)
+    cut = ~F.col("whole") & (F.col("size") > F.col("room"))
+    # of a block that is cut, documents without tokens stay away
+    counts = F.when(cut & (F.col("n_tokens") == 0), 0).otherwise(1)
+    used = used.withColumns({"upto": F.sum("n_tokens").over(within), "n": F.sum(counts).over(within)})
+    used = used.where(~cut | ((F.col("upto") <= F.col("room")) & (F.col("n_tokens") > 0)))
+    return used.select("row", "source", "doc_id", "n_tokens", "weight", "passes", "epoch", "block", (F.col("rows_before") + F.col("n") - 1).cast("long").alias("position"))
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs as often as their source's passes say. Rows are numbered in a stored copy, so that a lost
     executor cannot number them anew between the two readings."""
-    name = next(x for x in ("_row" + "_" * i for i in range(99)) if x not in docs.columns)
-    numbered = stored(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
-    times = mix(numbered, row=name, **options).groupBy(F.col("row").alias(name)).agg(F.count("*").cast("int").alias("_times"))
-    return numbered.join(times, name).withColumn(name, F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    row, times = (next(x for x in (name + "_" * i for i in range(len(docs.columns) + 1)) if x not in docs.columns) for name in ("_row", "_times"))
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    often = mix(numbered, row=row, **options).groupBy(F.col("row").alias(row)).agg(F.count("*").cast("int").alias(times))
+    return numbered.join(often, row).withColumn(row, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*(F.col(f"`{c}`") for c in docs.columns))
