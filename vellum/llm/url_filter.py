@@ -153,16 +153,18 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, labels: D
     shares = stored(known.groupBy(suffix(F.col("host")).alias("_suffix")).agg(F.count("*").alias("_n"), F.sum("allowed").alias("_yes")), "suffixes")
     total = shares.agg(F.sum("_n").alias("n"), F.sum("_yes").alias("yes")).first()
     prior = total.yes / total.n if total.n else 1.0
-    shares = shares.select("_suffix", ((F.col("_yes") + SMOOTHING * prior) / (F.col("_n") + SMOOTHING)).alias("_share"), F.log1p("_n").alias("_seen"))
 
-    def featured(df: DataFrame) -> DataFrame:
+    def featured(df: DataFrame, label: str | None = None) -> DataFrame:
+        """df with its features. label: a url's own label, which its suffix's share must not tell the fit."""
         df = df.withColumn("_suffix", suffix(F.col("host"))).join(shares, "_suffix", "left")
-        own = features(F.col("url"), F.col("host"), F.col("path")) | {"suffix_share": F.coalesce("_share", F.lit(prior)), "suffix_labels": F.coalesce("_seen", F.lit(0.0))}
+        yes, n = (F.col("_yes"), F.col("_n")) if label is None else (F.col("_yes") - F.col(label), F.col("_n") - 1)
+        share = (yes + SMOOTHING * prior) / (n + SMOOTHING)
+        own = features(F.col("url"), F.col("host"), F.col("path")) | {"suffix_share": F.coalesce(share, F.lit(prior)), "suffix_labels": F.coalesce(F.log1p("_n"), F.lit(0.0))}
         return df.withColumns({f"_{k}": own[k] for k in FEATURES})
 
     names = [f"_{k}" for k in FEATURES]
     sample = known.groupBy("url", "host", "path").agg(F.max("allowed").alias("allowed")).orderBy(F.xxhash64("url"), "url").limit(fit_rows)
-    rows = [(list(r[:-1]), r[-1]) for r in featured(sample).select(*names, "allowed").collect()]
+    rows = [(list(r[:-1]), r[-1]) for r in featured(sample, "allowed").select(*names, "allowed").collect()]
     trees = Trees.fit([x for x, _ in rows], [y for _, y in rows]) if rows else Trees(0.0, [])
     raw = featured(pages).withColumn("_raw", trees.column(names))
     score = 1 / (1 + F.exp(-F.col("_raw")))
