@@ -169,20 +169,21 @@ def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, lines: i
 def score(docs: DataFrame, chain: Chain, name: str = "score", keep: tuple[str, ...] | None = None) -> DataFrame:
     """The columns `keep` of docs (all), and the quality of each text."""
     columns = [c for c in docs.columns if c != name] if keep is None else keep
-    kept = docs.select(*columns, text_or_empty().cast("binary").alias("_bytes"))
+    read = next(x for x in ("_bytes" + "_" * i for i in range(len(columns) + 1)) if x not in columns)
+    kept = docs.select(*(F.col(f"`{c}`") for c in columns), text_or_empty().cast("binary").alias(read))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         for b in batches:
             out = []
-            for t in b.column("_bytes").to_pylist():
+            for t in b.column(b.num_columns - 1).to_pylist():
                 x, n = document_features(t)
                 out.append(float(np.dot(chain.marginals((x @ chain.weights).tolist()), n) / n.sum()))
             cols = [b.column(i) for i in range(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(out, pa.float64())], schema=pa.schema([*list(b.schema)[:-1], pa.field(name, pa.float64())]))
 
-    schema = kept.drop("_bytes").schema.add(name, "double")
+    schema = kept.drop(read).schema.add(name, "double")
     return kept.mapInArrow(run, schema)
 
 
@@ -195,8 +196,8 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows of docs of good quality."""
-    name = next(x for x in ("_quality" + "_" * i for i in range(99)) if x not in docs.columns)
-    return score(docs, train(docs, labels), name).where(F.col(name) >= least).select(*docs.columns)
+    name = next(x for x in ("_quality" + "_" * i for i in range(len(docs.columns) + 1)) if x not in docs.columns)
+    return score(docs, train(docs, labels), name).where(F.col(name) >= least).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 ship(sys.modules[__name__])

@@ -94,14 +94,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of docs without all but one of each group of near-duplicates: the one with the smallest doc_id,
-    and of several rows with that doc_id the smallest one by its other columns. Rows without doc_id stay."""
+    and of several rows with that doc_id the one with the smallest hash of its columns as text. Rows without doc_id
+    stay."""
     found = near_duplicates(docs.where("doc_id is not null"))
     keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    names = docs.columns
-    rest = [c for c in names if c != "doc_id"]
-    kept = docs.join(keep, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("_row"))
-    kept = kept.select(*(F.col(c) if c == "doc_id" else F.col(f"_row.{c}").alias(c) for c in names))
-    return kept.unionByName(docs.where("doc_id is null"))
+    names = [f"`{c}`" for c in docs.columns]
+    order = F.xxhash64(*(F.col(c).cast("string") for c in names))
+    kept = docs.join(keep, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*map(F.col, names)), order).alias("_row"))
+    return kept.select(*(F.col(f"_row.{c}").alias(c[1:-1]) for c in names)).unionByName(docs.where("doc_id is null"))
 
 
 ship(sys.modules[__name__])
