@@ -128,6 +128,27 @@ def test_secrets(spark, none):
     assert secret_scan.scan(none).count() == 0
 
 
+def test_secrets_of_one_owner_in_many_repositories(spark):
+    copied, own = "Ab1Cd2Ef3Gh4Ij5Kl6Mn7Op8", "Zq8xTr5vLm2nBw9cKj4hYd7p"
+    rows = [(i, f"copy {copied} end" + (f" {own}" if i == 3 else ""), "hot") for i in range(secret_scan.EXAMPLE_REPOSITORIES + 1)]
+    got = {r.doc_id: r for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got[0].spans == "" and (got[0].most_owners, got[0].most_repositories) == (1, len(rows))
+    assert got[3].spans == "mixed:34:58" and (got[3].n_live, got[3].n_example) == (1, 1)
+
+
+def test_secrets_of_a_text_with_very_many(spark):
+    """Places against the regular expressions of Python, in a text with more matches than are summed in one go."""
+    import re
+    import time
+
+    text = "".join(f"é{i} " + ("AKIA%016d x" % i if i % 2 else "token=%08d " % i) for i in range(20_000))
+    began = time.time()
+    got = secret_scan.scan(spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string")).first()
+    want = [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text)] + [(m.start(), 0, m.end()) for m in re.finditer("token=[A-Za-z0-9+/_.=-]+", text)]
+    names = ["assign", "access"]
+    assert got.spans == ",".join(f"{names[k]}:{a}:{b}" for a, k, b in sorted(want)) and time.time() - began < 60
+
+
 def test_quality_metrics():
     assert quality_rules.metrics("") == (0, 0, 0, 0, 0)
     assert quality_rules.metrics("a b c a b c") == (6, 6, 0, 0, 6)
@@ -142,16 +163,6 @@ def test_quality_rules(docs, none):
     assert quality_rules.judged(none).count() == 0
 
 
-def test_kneser_ney_sums_to_one():
-    import numpy as np
-
-    g = quality_rules.grams("the cat sat on the mat and the dog sat on the log " * 5, quality_rules.class_table())
-    keys, n = np.unique(g, return_counts=True)
-    m = quality_rules.KneserNey(keys, n)
-    context = int(g[40] >> 6) << 6
-    assert abs(np.exp(m.log_probability(np.arange(context, context + 64, dtype=np.uint32)).astype(float)).sum() - 1) < 1e-3
-
-
 def test_mixing(spark, none):
     rows = [(i, "w " * (5 + i % 3), "big" if i < 90 else "small", 0) for i in range(100)] + [(200, None, None, 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, epoch int")
@@ -160,6 +171,19 @@ def test_mixing(spark, none):
     assert seen == {r[0] for r in rows}
     tokens = {s: sum(r.n_tokens for r in got if r.source == s) for s in ("big", "small")}
     assert all(r.passes <= mixing.REPEATS + 1e-6 for r in got) and tokens["small"] > 3.8 * 60
+    passes: dict = {}
+    for r in got:
+        passes.setdefault((r.source, r.epoch), []).append((r.position, r.doc_id))
+    # each pass is a permutation: gapless places, no document twice, another order each time
+    for places in passes.values():
+        assert sorted(p for p, _ in places) == list(range(len(places))) and len({d for _, d in places}) == len(places)
+    orders = {k: [d for _, d in sorted(v)] for k, v in passes.items() if k[0] == "small" and len(v) == 10}
+    assert len(orders) >= 3 and len(set(map(tuple, orders.values()))) == len(orders)
+    # each source gets its budget, but for less than a document
+    for s in ("big", "small"):
+        assert 0 <= tokens[s] <= next(r.passes for r in got if r.source == s) * sum(5 + i % 3 for i in (range(90) if s == "big" else range(90, 100))) + 1e-6
+    clash = df.withColumnsRenamed({"epoch": "_times"})
+    assert mixing.mixed(clash, block=7).columns == clash.columns and mixing.mixed(clash, block=7).count() == len(got)
     assert mixing.mixed(df, block=7).columns == df.columns
     assert mixing.mix(none).count() == 0
 
@@ -189,6 +213,32 @@ def test_topk_against_brute_force(spark):
     assert topk.neighbours(df.where("vec_id < 0")).count() == 0
 
 
+def test_topk_of_large_and_uneven_vectors(spark):
+    rows = [(0, [1e7, -1.0, 3.0]), (1, [1e7, 2.0]), (2, [-1e7, 1.0, 1.0]), (3, [1e300, 0.0, 0.0]), (3, [1e300, 0.0, 0.0]), (4, [0.25, 0.5]), (5, []), (50, [-1.0, 1e7]), (None, [1.0])]
+    df = spark.createDataFrame([(a, b, 7) for a, b in rows], "vec_id long, embedding array<double>, query_id int")
+    got = {(x.query_id, x["rank"]): (x.vec_id, x.score) for x in topk.neighbours(df, k=3).collect()}
+    from math import floor
+
+    top = (1 << 63) - 1
+    q = {i: [max(-(1 << 63), min(top, floor(256 * x))) for x in v] for i, v in rows if i is not None}
+    for a in (0, 50):
+        best = sorted((-max(-top + 1, min(top, sum(x * y for x, y in zip(q[a], q[b])))), b) for b in q if b != a)[:3]
+        assert [got[a, k] for k in (1, 2, 3)] == [(b, -s) for s, b in best]
+
+
+def test_cover_tree_holds_its_rows():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    points = np.concatenate([rng.normal(c, 0.3, (400, 3)) for c in (0, 5, 9)])
+    t = topk.CoverTree(points, 20)
+    for node, (lo, hi) in enumerate(t.span):
+        rows = t.points[t.order[lo:hi]]
+        assert np.sqrt(((rows - t.centre[node]) ** 2).sum(axis=1)).max() <= t.radius[node] + 1e-9
+        kids = t.children[node]
+        assert not kids or (sorted(t.span[k] for k in kids)[0][0] == lo and sum(t.span[k][1] - t.span[k][0] for k in kids) == hi - lo and (t.centre[kids] == t.centre[node]).all(axis=1).any())
+
+
 def test_packing(docs, none):
     got = packing.pack(docs).collect()
     full: dict = {}
@@ -233,6 +283,21 @@ def test_classifier(spark, docs, none):
     assert line_classifier.scored(none, df.select("doc_id", "quality")).count() == 0
 
 
+def test_classifier_keeps_columns_of_clashing_names(spark):
+    good = [(i, f"This is sentence number {i} of a fine document.\nIt goes on for a while, and ends well.", b"x", {"a": 1}) for i in range(40)]
+    bad = [(100 + i, f"BUY!! NOW!! {i} $$$ ### &&&\n*** CHEAP!! %%%", None, None) for i in range(40)]
+    df = spark.createDataFrame(good + bad, "doc_id long, text string, _bytes binary, _quality map<string,int>")
+    labels = spark.createDataFrame([(r[0], int(r[0] < 100)) for r in good + bad] + [(1, 1), (101, 1), (102, None)], "doc_id long, quality int")
+    kept = line_classifier.keep_good(df, labels)
+    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {r[0] for r in good}
+
+
+def test_simhash_keeps_one_of_repeated_rows_with_maps(spark):
+    df = spark.createDataFrame([(1, "one two three", {"a": 1}), (1, "one two three", {"a": 1}), (2, "one two three", None), (None, None, None)], "doc_id long, text string, more map<string,int>")
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns and sorted((r.doc_id or 0, r.more or {}) for r in kept.collect()) == [(0, {}), (1, {"a": 1})]
+
+
 def test_forward_backward_against_enumeration():
     from itertools import product
     from math import exp
