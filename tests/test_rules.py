@@ -125,3 +125,73 @@ def test_null_rules(spark):
 
     df = spark.createDataFrame([(None, None), (1, None), (2, 1), (1, 2), (3, 3)], "a int, b int")
     assert [(r.t, r.c) for r in df.select(ternary(F.col("a"), F.col("b")).alias("t"), change(F.col("a"), F.col("b")).alias("c")).collect()] == [(0, 1), (1, 1), (1, 1), (-1, 1), (0, 0)]
+
+
+def test_partial_matches_against_all_windows():
+    import random
+
+    from vellum.operators import align
+
+    r = random.Random(4)
+    words = ["the", "regulation", "applies", "before", "after", "it", "to", "each", "part", "of", "this", "section"]
+    seen = [0, 0]
+    for _ in range(400):
+        a = " ".join(r.choice(words) for _ in range(r.randint(1, 6)))
+        b = " ".join(r.choice(words) for _ in range(r.randint(1, 14)))
+        if r.random() < 0.6:  # a piece of the longer text with some letters changed
+            at = r.randrange(len(b))
+            a = "".join(c if r.random() > 0.12 else r.choice("abcdefg ") for c in b[at : at + r.randint(1, 40)])
+        want = align.partial_ratio(a, b) > align.MATCH
+        assert align.matches(a, b) == want == align.matches(b, a), (a, b)
+        seen[want] += 1
+    assert min(seen) > 80
+    assert align.matches("", "") and not align.matches("", "x") and align.matches("x", "xyz")
+
+
+def test_partial_join_in_both_directions(spark):
+    from vellum.operators import align
+
+    turns = [(1, 0, "the regulation applies before and after it"), (1, 1, "applies before"), (1, 2, "zzz"), (2, 0, "ab")]
+    texts = spark.createDataFrame(turns, "doc_id long, pdf_idx int, text string")
+    items = spark.createDataFrame([(1, 5, "regulation applies"), (1, 6, "aplies before and"), (2, 1, "xaby"), (2, 0, "ab")], "doc_id long, item_id int, item string")
+    got = {(r.doc_id, r.pdf_idx): r.item_id for r in align.partial_join(texts, items).collect()}
+    assert got == {(1, 0): 6, (1, 1): 6, (2, 0): 1}
+
+
+def test_older_rules_against_a_walk():
+    import random
+
+    from vellum.operators.sequence import older_classes
+
+    def walk(c: list) -> list:
+        c = list(c)
+        for i in range(len(c)):
+            now, before = c[i], c[i - 1] if i else None
+            if i == 0 or i == len(c) - 1:
+                if now == 3 and before not in (2, 3):
+                    c[i] = 2
+                continue
+            after = c[i + 1]
+            if before == 4 and after == 4 and now != 2:
+                c[i] = 4
+            if before not in (2, 3) and now == 3:
+                c[i] = 2
+            if before in (2, 3) and now == 1 and after in (0, 1):
+                c[i] = 0 if after == 1 else 3
+        return c
+
+    r = random.Random(8)
+    for _ in range(500):
+        c = [r.randrange(5) for _ in range(r.randint(1, 9))]
+        assert older_classes(c) == walk(c)
+
+
+def test_missing_columns_are_an_error(spark):
+    import pytest
+
+    from vellum import schema
+
+    df = spark.range(1).selectExpr("id AS a")
+    assert schema.require(df, ["a"]) is df
+    with pytest.raises(ValueError, match="b"):
+        schema.require(df, ["a", "b"])

@@ -28,3 +28,34 @@ def test_recall_of_inverted_lists(spark):
         q = e.where("vec_id % 100 = 0")
         pairs = [{(r.query_id, r.vec_id) for r in found.collect()} for found in (vectors.search(e, q), vectors.InvertedLists(e).search(q))]
         assert len(pairs[0] & pairs[1]) >= 0.9 * len(pairs[0])
+
+
+def test_recall_of_codes_and_graphs(spark):
+    for sf in ("sf0.01", "sf0.1"):
+        e = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+        q = e.where("vec_id % 100 = 0")
+        want = {(r.query_id, r.vec_id) for r in vectors.search(e, q).collect()}
+        for index in (vectors.ProductIndex, vectors.InvertedProductIndex, vectors.GraphIndex):
+            got = {(r.query_id, r.vec_id) for r in index(e).search(q).collect()}
+            assert len(want & got) >= 0.9 * len(want), (sf, index)
+
+
+def test_codes_cover_all_components(spark):
+    r = random.Random(1)
+    rows = [(i, [r.uniform(-1, 1) for _ in range(7)]) for i in range(50)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    quantizer = vectors.Quantizer(df, parts=3, codes=8)
+    assert quantizer.cuts[0][0] == 0 and quantizer.cuts[-1][1] == 7 and all(a[1] == b[0] for a, b in zip(quantizer.cuts, quantizer.cuts[1:]))
+    codes = {x.vec_id: x.codes for x in vectors.product_codes(df, parts=3, codes=8).collect()}
+    for i, v in rows:
+        for p, ((a, b), c) in enumerate(zip(quantizer.cuts, quantizer.centres)):
+            d = [sum((x - y) ** 2 for x, y in zip(v[a:b], m)) for m in c.tolist()]
+            assert codes[i] == [] or 0 <= codes[i][p] < 8 and min(d) <= d[codes[i][p]]
+
+
+def test_pages_and_chunks(spark):
+    df = spark.range(0, 1_000, 3).withColumnRenamed("id", "vec_id")
+    found = [[r.vec_id for r in p.collect()] for p in vectors.pages(df, "vec_id", 100)]
+    assert [len(p) for p in found] == [100, 100, 100, 34] and [x for p in found for x in p] == list(range(0, 1_000, 3))
+    sizes = vectors.chunks(df, 100).groupBy("chunk").count().collect()
+    assert sum(r["count"] for r in sizes) == 334 and max(r["count"] for r in sizes) <= 100

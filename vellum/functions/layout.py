@@ -94,3 +94,9 @@ def reading_order(df: DataFrame) -> DataFrame:
     df = df.withColumn("island", F.sum("_new").over(page.rowsBetween(Window.unboundedPreceding, 0)).cast("int"))
     inside = Window.partitionBy("doc_id", "page").orderBy("island", "line_y0", "pdf_idx")
     return df.withColumn("block_order", F.row_number().over(inside) - 1).drop("_new", "x_mid")
+
+
+def column_number(x: Column, lo: Column, hi: Column, n: Column) -> Column:
+    """How many of n + 1 evenly spaced column lines from lo to hi stand left of x; 0 where there is one column."""
+    lines = F.transform(F.sequence(F.lit(0), n.cast("int")), lambda i: lo + i * (hi - lo) / n)
+    return F.when(n == 1, 0).otherwise(F.size(F.filter(lines, lambda v: v < x))).cast("int")

