@@ -8,10 +8,8 @@ bands of ROWS rows find a pair at the threshold with probability 1 - (1 - 0.8**4
 surely. Of each component the line that comes first by (doc_id, line number) stays, all others go.
 
 A bucket is written as one row for each of its lines, (hub, line): the hub is a line that comes often. All lines of one
-hub are compared with each other exactly, as sets of bits, so that no pair of a bucket is left out; what leaves a task
-is a spanning forest of the links that it found, never the pairs. Groups of more than BLOCK_LINES lines or BLOCK_CHARS
-characters are dealt into blocks by a hash, and each two blocks of them meet in a task, so no task holds more than two
-blocks. Texts of lines travel only if a bucket needs them: the ids that do are set in a bitmap of fixed size that goes
+hub are compared with each other exactly, as sets of bits in blocks (similar.py), so that no pair of a bucket is left
+out. Texts of lines travel only if a bucket needs them: the ids that do are set in a bitmap of fixed size that goes
 to the scan, and what it lets through in vain falls away in a join.
 
 Documents that lose all their lines that are not blank go; those without any such line stay as they are. Null texts
@@ -30,11 +28,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.llm.shared import Table, components, is_empty, ship, stored
+from vellum.llm.similar import BLOCK_CHARS, BLOCK_LINES, THRESHOLD, forest, jaccard, linked
 
-SHINGLE, THRESHOLD, MIN_CHARS = 8, 0.8, 16
+__all__ = ["THRESHOLD", "dedup_lines", "forest", "jaccard", "removed", "report", "shingles"]
+SHINGLE, MIN_CHARS = 8, 16
 BANDS, ROWS = 12, 4
-#: Most lines and characters of a block; bits of the map of needed ids.
-BLOCK_LINES, BLOCK_CHARS, BITMAP = 256, 1 << 20, 1 << 26
+#: Bits of the map of needed ids.
+BITMAP = 1 << 26
 #: Bytes of a folded text: ASCII letters in lower case, white space but the line feed as spaces.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else 32 if c in (9, 11, 12, 13) else c for c in range(256))
 
@@ -56,14 +56,6 @@ def shingles(t: str) -> frozenset[str]:
     return frozenset([t[i : i + SHINGLE] for i in range(max(1, len(t) - SHINGLE + 1))])
 
 
-def jaccard(x: frozenset[str], y: frozenset[str]) -> float:
-    """Of two sets of shingles; 0 where their sizes alone keep them below the threshold."""
-    if min(len(x), len(y)) < THRESHOLD * max(len(x), len(y)):
-        return 0.0
-    both = len(x & y)
-    return both / (len(x) + len(y) - both)
-
-
 def _hashed(lines: list[bytes]):
     import numpy as np
     import xxhash
@@ -174,80 +166,6 @@ def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "id long, line string").join(ids, "id", "left_semi").groupBy("id").agg(F.min("line").alias("line"))
 
 
-def forest(left: list[frozenset], right: list[frozenset] | None = None) -> list[tuple[int, int]]:
-    """Links (positions) between sets that connect all similar ones: of one list, or of two that are not compared
-    each within itself; then positions count on from the first into the second."""
-    import numpy as np
-
-    sets = [*left, *(right or [])]
-    m, split = len(sets), len(left)
-    start = 1 if right is None else split
-    out = [(0, j) for j in range(start, m) if jaccard(sets[0], sets[j]) >= THRESHOLD]
-    if len(out) == m - 1 or m == 2:
-        return out
-    part = np.arange(m)
-    part[[j for _, j in out]] = 0
-    often = Counter(s for x in sets for s in x)
-    column: dict[str, int] = {}
-    for s, k in often.items():
-        if k > 1:
-            column[s] = len(column)
-    width = -(-max(1, len(column)) // 64)
-    bits, row = np.empty((m, width), np.uint64), np.zeros(width * 64, bool)
-    for i, x in enumerate(sets):
-        mine = [k for k in map(column.get, x) if k is not None]
-        row[mine] = True
-        bits[i] = np.packbits(row).view(np.uint64)
-        row[mine] = False
-    size = np.array([len(x) for x in sets])
-    for i in range(1, m - 1 if right is None else split):
-        rest = i + 1 if right is None else split
-        others = rest + np.nonzero(part[rest:] != part[i])[0]
-        others = others[np.minimum(size[others], size[i]) >= THRESHOLD * np.maximum(size[others], size[i]) - 1e-9]
-        if not len(others):
-            continue
-        both = np.bitwise_count(bits[others] & bits[i]).sum(axis=1, dtype=np.int64)
-        for j in others[both * (1 + THRESHOLD) >= THRESHOLD * (size[others] + size[i]) - 1e-9].tolist():
-            if part[j] != part[i]:
-                part[part == part[j]] = part[i]
-                out.append((i, j))
-    return out
-
-
-def _linked(groups: DataFrame) -> DataFrame:
-    """(a, b): links of each group. groups: (hub, i, j, part, id, line), all rows of (hub, i, j) in a row."""
-
-    def links(rows: list) -> Iterator[tuple[int, int]]:
-        i, j = rows[0][1], rows[0][2]
-        halves = [[r for r in rows if r[3] == k] for k in dict.fromkeys((i, j))]
-        ids = [r[4] for half in halves for r in half]
-        for a, b in forest(*([shingles(r[5]) for r in half] for half in halves)):
-            yield ids[a], ids[b]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs() -> Iterator[tuple[int, int]]:
-            held: list = []
-            for b in batches:
-                for r in zip(*(c.to_pylist() for c in b.columns)):
-                    if held and r[:3] != held[0][:3]:
-                        yield from links(held)
-                        held = []
-                    held.append(r)
-            if held:
-                yield from links(held)
-
-        found: list = []
-        for x in pairs():
-            found.append(x)
-            if len(found) == 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
-                found = []
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
-
-    return groups.select("hub", "i", "j", "part", "id", "line").mapInArrow(run, "a long, b long")
-
-
 def _edges(docs: DataFrame, signatures: DataFrame, block_lines: int = BLOCK_LINES, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(a, b): links that connect similar lines."""
     members = signatures.where("keys is not null").select(F.explode("keys").alias("key"), "id", "n")
@@ -255,14 +173,7 @@ def _edges(docs: DataFrame, signatures: DataFrame, block_lines: int = BLOCK_LINE
     pairs = stored(members.select(hub.alias("hub"), "id").where("id != hub").distinct(), "pairs")
     rows = pairs.union(pairs.select("hub", F.col("hub").alias("id")).distinct())
     texts = stored(_texts(docs, rows.select("id").distinct()), "texts")
-    sizes = texts.select("id", F.length("line").alias("chars"))
-    parts = F.ceil(F.greatest(F.count("*") / block_lines, F.sum("chars") / block_chars)).cast("int")
-    large = stored(rows.join(sizes, "id").groupBy("hub").agg(parts.alias("parts")).where("parts > 1"), "large")
-    dealt = rows.join(large, "hub", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("hub", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "part", "id").join(texts, "id")
-    return _linked(dealt.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j", F.col("id") != F.col("hub")))
+    return linked(rows, texts, shingles, block_lines, block_chars)
 
 
 def removed(docs: DataFrame, shortest: int = MIN_CHARS) -> DataFrame:

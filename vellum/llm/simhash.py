@@ -5,6 +5,9 @@ some segment starts a chain whose first j segments together differ in at most fl
 from 1 to 4: in 0, 1, 2 and 3. So a pair is looked up by one segment that is equal and the next one with at most
 one bit flipped (a key of 32 bits), is pruned by the chain of three, and only then meets the full check.
 
+That is the query; the stage of the pipeline, keep_one(), links texts whose sets of shingles of WORDS words have a
+Jaccard similarity of THRESHOLD or more. Its candidates come by the same filter from two fingerprints of single words.
+
 Null and empty texts, and those of white space only, have fingerprint zero and link like any others. Rows with
 a null doc_id are kept; they link texts, but never name a component unless it has no other row (then null).
 Repeated rows stay repeated. An empty table gives no rows. Other columns are ignored.
@@ -13,6 +16,7 @@ Repeated rows stay repeated. An empty table gives no rows. Other columns are ign
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,9 +24,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm.shared import Table, components, ship, stored
+from vellum.llm.similar import THRESHOLD, linked
 
+__all__ = ["THRESHOLD", "keep_one", "near_duplicates"]
 SEGMENTS, WIDTH = 4, 16
 MAX_BITS = 3
+#: Words of a shingle in the exact comparison of the pipeline's stage.
+WORDS = 5
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Shingles whose bits are counted at a time; bounds the memory of very long texts.
 CHUNK = 1 << 16
@@ -92,13 +100,72 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return prints.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def word_prints(text: str) -> tuple[int, int]:
+    """Two SimHashes of a text's single words, each as often as it comes, from the halves of one hash of 128 bits."""
+    import numpy as np
+    import xxhash
+
+    count = Counter(text.encode("utf-8", "surrogatepass").translate(LOWER).split())
+    if not count:
+        return 0, 0
+    raw = b"".join(map(xxhash.xxh3_128_digest, count))
+    n, total = np.fromiter(count.values(), np.int64, len(count)), sum(count.values())
+    votes = np.zeros(128, np.int64)
+    for at in range(0, len(count), CHUNK):
+        part = np.frombuffer(raw[16 * at : 16 * (at + CHUNK)], np.uint8).reshape(-1, 16)
+        votes += n[at : at + CHUNK] @ np.unpackbits(part, axis=1).astype(np.int64)
+    both = np.packbits(votes * 2 > total).tobytes()
+    return int.from_bytes(both[:8], "big", signed=True), int.from_bytes(both[8:], "big", signed=True)
+
+
+def word_shingles(text: str) -> frozenset[str]:
+    """Sets of WORDS words of a text in lower case (ASCII), or the whole of a shorter one."""
+    words = [w.decode("utf-8", "surrogatepass") for w in text.encode("utf-8", "surrogatepass").translate(LOWER).split()]
+    return frozenset(" ".join(words[i : i + WORDS]) for i in range(max(1, len(words) - WORDS + 1)))
+
+
+def similar_texts(docs: DataFrame) -> DataFrame:
+    """(a, b): links that connect all texts found similar, by a hash of each text. docs: (th, text).
+
+    Candidates are texts with a SimHash of their words at most MAX_BITS apart, found by the pigeonring filter; each two
+    of a candidate bucket are then compared exactly, as sets of shingles of WORDS words, at a Jaccard of THRESHOLD.
+    Single words change less by an edit than shingles do, so their fingerprints find most pairs at the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [word_prints(t) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("th"), *(pa.array([f[i] for f in found], pa.int64()) for i in (0, 1))], ["th", "p0", "p1"])
+
+    prints = stored(docs.mapInArrow(run, "th long, p0 long, p1 long").distinct(), "prints")
+    rows = None
+    for i in (0, 1):
+        held = stored(prints.select(F.col(f"p{i}").alias("fp"), F.col("th").alias("id")), "held")
+        distinct = stored(held.groupBy("fp").agg(F.count("*").alias("n")), "distinct")
+        pairs = stored(links(distinct.select("fp")), "links")
+        ends = pairs.select(F.xxhash64("a", "b").alias("hub"), F.explode(F.array("a", "b")).alias("fp"))
+        alone = distinct.where("n > 1").select(F.xxhash64("fp").alias("hub"), "fp")
+        mine = ends.union(alone).join(held, "fp").select("hub", "id")
+        rows = mine if rows is None else rows.union(mine)
+    rows = stored(rows.distinct(), "buckets")
+    texts = docs.select(F.col("th").alias("id"), F.col("text").alias("line")).join(rows.select("id").distinct(), "id", "left_semi")
+    texts = stored(texts.groupBy("id").agg(F.min("line").alias("line")), "texts")
+    return linked(rows, texts, word_shingles)
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs without all but one of each group of near-duplicates: the one with the smallest doc_id,
-    and of several rows with that doc_id the one with the smallest hash of its columns as text. Rows without doc_id
-    stay."""
-    found = near_duplicates(docs.where("doc_id is not null"))
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
+    """The rows of docs without all but one of each group of near-duplicates: texts that are equal, or linked by
+    similar_texts(). The row with the smallest doc_id stays, and of several the one with the smallest hash of its
+    columns as text. Null and empty texts, and those of white space only, are one group. Rows without doc_id stay, and
+    stand for no group."""
     names = [f"`{c}`" for c in docs.columns]
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    plain = F.when(text.rlike(r"[^\x20\x09-\x0D]"), text).otherwise("")
+    named = docs.where("doc_id is not null")
+    keys = stored(named.select("doc_id", F.xxhash64(plain).alias("th")), "texts")
+    some = named.select(F.xxhash64(plain).alias("th"), plain.alias("text")).where("text != ''")
+    labels = components(stored(similar_texts(some), "links")).select(F.col("node").alias("th"), "component")
+    grouped = keys.groupBy("th").agg(F.min("doc_id").alias("first")).join(labels, "th", "left").select("first", F.coalesce("component", F.xxhash64("th")).alias("group"))
+    keep = stored(grouped.groupBy("group").agg(F.min("first").alias("doc_id")).select("doc_id").distinct(), "keep")
     order = F.xxhash64(*(F.col(c).cast("string") for c in names))
     kept = docs.join(keep, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*map(F.col, names)), order).alias("_row"))
     return kept.select(*(F.col(f"_row.{c}").alias(c[1:-1]) for c in names)).unionByName(docs.where("doc_id is null"))
