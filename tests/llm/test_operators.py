@@ -283,6 +283,26 @@ def test_classifier(spark, docs, none):
     assert line_classifier.scored(none, df.select("doc_id", "quality")).count() == 0
 
 
+def test_classifier_on_held_out_documents(spark):
+    """Accuracy and order of scores on documents that the fit has not seen, against the share of the larger class."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    got = line_classifier.scored(docs, labels).where("held_out").join(labels, "doc_id").select("score", "predicted", "quality").collect()
+    good, bad = ([r.score for r in got if r.quality == q] for q in (1, 0))
+    assert len(got) > 80 and sum(r.predicted == r.quality for r in got) >= 0.97 * len(got) > max(len(good), len(bad))
+    assert sum((a > b) + (a == b) / 2 for a in good for b in bad) >= 0.98 * len(good) * len(bad)
+
+
+def test_classifier_fits_all_lines_of_a_document(spark):
+    """Two kinds of documents that differ only after many lines."""
+    head = "\n".join(f"the same line {i} of all documents" for i in range(70))
+    rows = [(i, head + "\n" + "\n".join(["### $$$ !!! 9999"] * 70 if i % 2 else ["a quiet sentence of plain words"] * 70)) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = line_classifier.scored(df, df.selectExpr("doc_id", "1 - doc_id % 2 AS quality")).collect()
+    assert all(r.predicted == 1 - r.doc_id % 2 for r in got)
+    few = line_classifier.train(df, df.selectExpr("doc_id", "1 - doc_id % 2 AS quality"), fit_lines=300)
+    assert few.weights.any()
+
+
 def test_classifier_keeps_columns_of_clashing_names(spark):
     good = [(i, f"This is sentence number {i} of a fine document.\nIt goes on for a while, and ends well.", b"x", {"a": 1}) for i in range(40)]
     bad = [(100 + i, f"BUY!! NOW!! {i} $$$ ### &&&\n*** CHEAP!! %%%", None, None) for i in range(40)]

@@ -5,8 +5,9 @@ the same of the line before and after it; neighbouring labels have weights too.
 document. A document's quality is the mean of its lines' marginal probabilities of being good, by forward and backward
 sums, weighted by line length.
 
-The fit is on the driver, on at most `fit_docs` labelled documents (those with the smallest hashes of doc_id) and at
-most FIT_LINES lines of each; both bound the fit only. All documents and lines are scored, in batches.
+The fit is on the driver, on the labelled documents with the smallest hashes of doc_id, at most `fit_docs` of them and
+as many as have `fit_lines` lines together; both bound the fit only. They are fitted with all their lines, long ones in
+pieces of PIECE lines. All documents and lines are scored, in batches.
 
 A null or empty text is one empty line. With no labels, or labels of one kind, every line follows the share of good
 labels (a half without any). Repeated rows get equal scores; several labels of a doc_id count as the lowest. Null
@@ -19,12 +20,12 @@ import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.llm.shared import ship, text_or_empty
 
-FIT_DOCS, FIT_LINES, STEPS, RATE, RIDGE = 3_000, 64, 200, 0.1, 1e-3
+FIT_DOCS, FIT_LINES, PIECE, STEPS, RATE, RIDGE = 3_000, 100_000, 64, 200, 0.1, 1e-3
 CLASSES = tuple(bytes(x, "ascii") for x in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "#*$%&|<>@^~=+_{}[]\\/", "!?", ".,;:", " \t\r"))
 OWN = 13
 
@@ -149,21 +150,29 @@ def fold(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3, F.lit(1))
 
 
-def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, lines: int = FIT_LINES) -> Chain:
+def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, fit_lines: int = FIT_LINES) -> Chain:
     """A chain fitted to the labelled rows of docs that are not held out. labels: (doc_id, quality)."""
     import numpy as np
 
     wanted = labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("_label")).where(fold(F.col("doc_id")) != 1)
-    ids = docs.select("doc_id").join(wanted, "doc_id").groupBy("doc_id").agg(F.first("_label").alias("_label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_docs)
-    texts = docs.select("doc_id", text_or_empty().cast("binary").alias("text")).join(F.broadcast(ids), "doc_id")
+    rows = docs.select("doc_id", text_or_empty().cast("binary").alias("text"))
+    n_lines = F.length("text") - F.length(F.replace(F.col("text").cast("string"), F.lit("\n"), F.lit("")).cast("binary")) + 1
+    ids = rows.select("doc_id", n_lines.alias("_n")).join(wanted, "doc_id").groupBy("doc_id").agg(F.first("_label").alias("_label"), F.sum("_n").alias("_n"))
+    order = (F.xxhash64("doc_id"), F.col("doc_id"))
+    first = ids.orderBy(*order).limit(fit_docs)  # a window over so many rows at most
+    upto = F.sum("_n").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    ids = first.withColumn("_upto", upto).where(F.col("_upto") <= fit_lines).select("doc_id", "_label")
+    texts = rows.join(F.broadcast(ids), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [document_features(t)[0][:lines].astype("float32") for t in b.column("text").to_pylist()]
+            found = [document_features(t)[0].astype("float32") for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("_label"), pa.array([x.tobytes() for x in found], pa.binary())], ["doc_id", "_label", "x"])
 
-    rows = sorted(texts.mapInArrow(run, f"doc_id {dict(texts.dtypes)['doc_id']}, _label {dict(texts.dtypes)['_label']}, x binary").collect(), key=lambda r: (r.doc_id, bytes(r.x)))
-    return Chain.fit([np.frombuffer(r.x, "float32").reshape(-1, 3 * OWN).astype(float) for r in rows], [int(r._label) for r in rows])
+    held = sorted(texts.mapInArrow(run, f"doc_id {dict(texts.dtypes)['doc_id']}, _label {dict(texts.dtypes)['_label']}, x binary").collect(), key=lambda r: (r.doc_id, bytes(r.x)))
+    whole = [(np.frombuffer(r.x, "float32").reshape(-1, 3 * OWN).astype(float), int(r._label)) for r in held]
+    parts = [(x[at : at + PIECE], y) for x, y in whole for at in range(0, len(x), PIECE)]
+    return Chain.fit([x for x, _ in parts], [y for _, y in parts])
 
 
 def score(docs: DataFrame, chain: Chain, name: str = "score", keep: tuple[str, ...] | None = None) -> DataFrame:
