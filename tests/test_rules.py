@@ -195,3 +195,107 @@ def test_missing_columns_are_an_error(spark):
     assert schema.require(df, ["a"]) is df
     with pytest.raises(ValueError, match="b"):
         schema.require(df, ["a", "b"])
+
+
+def test_window_ratios_against_each_window():
+    import random
+
+    from vellum.operators import align
+
+    r = random.Random(6)
+    for _ in range(150):
+        long = "".join(r.choice("abcd") for _ in range(r.randint(1, 30)))
+        short = "".join(r.choice("abcde") for _ in range(r.randint(1, len(long))))
+        n = len(short)
+        want = [align.ratio(short, long[max(0, at) : at + n]) for at in range(1 - n, len(long))]
+        assert align.window_ratios(short, long).tolist() == want
+
+
+def test_windows_against_a_walk():
+    import random
+
+    from vellum.operators.windows import window_bounds
+
+    r = random.Random(2)
+    for _ in range(300):
+        words = [r.choice((0, 1, 2, 5, 9)) for _ in range(r.randint(0, 25))]
+        size, overlap = r.randint(1, 20), r.randint(0, 10)
+        found = window_bounds(words, size, overlap)
+        assert bool(found) == bool(words) and (not words or found[-1][1] == len(words) - 1)
+        for (a, b, n), later in zip(found, [*found[1:], None]):
+            assert n == sum(words[a : b + 1]) and sum(words[a:b]) < size and (n >= size or b == len(words) - 1)
+            if later:
+                assert a < later[0] <= b + 1
+                assert sum(words[later[0] : b + 1]) <= overlap or later[0] == a + 1
+                assert later[0] - 1 <= a or sum(words[later[0] - 1 : b + 1]) > overlap
+
+
+def test_edit_distance_against_the_table():
+    import random
+
+    from vellum.operators import align
+
+    r = random.Random(5)
+    for _ in range(200):
+        a, b = ("".join(r.choice("abc") for _ in range(r.randint(0, 90))) for _ in range(2))
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        assert align.edit_distance(a, b) == row[-1]
+
+
+def test_alignment_of_a_document():
+    from vellum.operators import align
+
+    text = [f"line number {i} speaks of the {w} and of nothing else at all" for i, w in enumerate("harbour mountain kettle garden window carpet button market forest ladder".split())]
+    blocks = [(10 + k, " ".join(text[2 * k : 2 * k + 2])) for k in range(5)]
+    lines = [(i, t) for i, t in enumerate(text)]
+    lines[4] = (4, text[4].replace("nothing", "nothimg"))
+    lines += [(10, "contents 12", "Contents .......... 12"), (11, "x"), (12, "words that stand in no block whatever"), (13, "1 " + text[9], "1. " + text[9])]
+    got = align.align_document(lines, blocks)
+    assert [(n, x) for n, x, *_ in got] == [(i, 10 + i // 2) for i in range(10)] + [(10, None), (11, None), (12, None), (13, None)]
+    # the second line of each block begins where the first one ends; an equal line is not matched where it is used up
+    assert all(got[i][3] == (0 if i % 2 == 0 else len(text[i - 1]) + 1) for i in range(10)) and got[4][2] < 1 == got[5][2]
+    assert align.align_document(lines, [])[0] == (0, None, 0.0, 0, 0)
+
+
+def test_windows_lead_to_the_right_blocks():
+    """A long text whose other version has other blocks before it and in its middle: windows follow it."""
+    import random
+
+    from vellum.operators import align
+
+    r = random.Random(3)
+    vocabulary = ["".join(r.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(400)]
+    text = [" ".join(r.choice(vocabulary) for _ in range(10)) for _ in range(230)]
+    more = [" ".join(r.choice(vocabulary) for _ in range(10)) for _ in range(80)]
+    blocks = list(enumerate(more[:40] + text[:110] + more[40:] + text[110:]))
+    got = align.align_document(list(enumerate(text)), blocks)
+    right = sum(x == i + (40 if i < 110 else 80) for i, x, *_ in got)
+    assert right >= 0.95 * len(text), right
+
+
+def test_best_place_against_all_places():
+    import random
+
+    from vellum.operators import align
+
+    r = random.Random(12)
+    words = "alpha beta gamma delta to of in regulation part section it".split()
+    hits = 0
+    for _ in range(200):
+        block = " ".join(r.choice(words) for _ in range(r.randint(3, 25)))
+        at = r.randrange(len(block))
+        line = "".join(c if r.random() > 0.1 else r.choice("xyz ") for c in block[at : at + r.randint(4, 50)]).strip() or "x"
+        used = align.Used()
+        used.take(0, 0, r.randint(0, 10))
+        places = [(s, min(len(block), s + len(line))) for s in [0, *(i + 1 for i, c in enumerate(block) if c == " ")]]
+        whole = [i for i in range(len(block)) if block.startswith(line, i) and used.free(0, i, i + len(line))]
+        free = [(1 - align.edit_distance(line, block[s:e]) / len(line), -s, e) for s, e in places if used.free(0, s, e)]
+        want = (1.0, -whole[0], whole[0] + len(line)) if whole else max((f for f in free if f[0] >= 0.75), key=lambda f: (f[0], f[1]), default=(0.0, 0, 0))
+        sim, s, e = align.best_place(line, block, used, 0, 0.75)
+        assert (round(sim, 9), s, e) == (round(want[0], 9), -want[1], want[2])
+        hits += sim > 0
+    assert hits > 50

@@ -169,11 +169,13 @@ def html_text(spark, d):
 
 @query()
 def align_lines(spark, d):
-    """Lines of one version aligned with the blocks of another, by windows and used ranges."""
-    lines = lines_of(spark, d).select("doc_id", "pdf_idx", text.clean_text(F.col("text")).alias("text")).where("text != ''")
+    """Lines of one version aligned with the blocks of another: windows of lines
+    in windows of blocks, then lines in the blocks around, with used ranges and classes of continuations."""
+    lines = lines_of(spark, d).select("doc_id", "pdf_idx", F.col("text").alias("raw"), text.clean_text(F.col("text")).alias("text")).where("text != ''")
     blocks = lines_of(spark, d).withColumn("xml_idx", F.expr("cast(pdf_idx div 3 as int)"))
     joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pdf_idx", "text"))), lambda x: x["text"]), " ")
-    blocks = blocks.groupBy("doc_id", "xml_idx").agg(text.clean_text(F.replace(joined, F.lit("tion"), F.lit("shun"))).alias("text")).where("text != ''")
+    cls = F.min_by(F.when(F.col("predicted").isin(2, 3), 2).otherwise(0), "pdf_idx")
+    blocks = blocks.groupBy("doc_id", "xml_idx").agg(text.clean_text(F.replace(joined, F.lit("tion"), F.lit("shun"))).alias("text"), cls.alias("cls")).where("text != ''")
     return align.align(lines, blocks)
 
 
