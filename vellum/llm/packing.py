@@ -27,6 +27,7 @@ from vellum.llm.shared import ship, stored, text_or_empty
 
 CAPACITY = 2048
 END = (0).to_bytes(4, "little")
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Pieces packed together, and words whose tokens a worker remembers.
 GROUP, REMEMBER = 40_000, 1_200_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -43,7 +44,8 @@ class Words:
 
     The tokenizer never joins characters across ASCII white space and drops it, so a text's tokens are those of
     its words in turn; it folds case, and cuts between letters and punctuation, so a word of letters and a tail of
-    punctuation are looked up apart. Words met before are remembered, up to a bound, as long as the worker lives.
+    punctuation are looked up apart, in ASCII lower case. Words met before are remembered, up to a bound, as long as the
+    worker lives.
     Letters not met before are encoded many at a time; the tokens that end a word cut the result again.
     """
 
@@ -70,51 +72,66 @@ class Words:
 
         return [np.asarray(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _learn_letters(self, texts: list[str]) -> None:
+    def _learn_letters(self, texts: list[bytes]) -> None:
         import numpy as np
 
         for at in range(0, len(texts), 1024):
             part = texts[at : at + 1024]
-            ids = np.asarray(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ids = np.asarray(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
             cuts = (np.nonzero(self.ends[ids])[0] + 1).tolist()
             if len(cuts) == len(part) and cuts[-1] == len(ids):
                 raw = ids.tobytes()
-                self.letters.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(part, [0, *cuts], cuts))
+                self.letters.update([(w, raw[4 * a : 4 * b]) for w, a, b in zip(part, [0, *cuts], cuts)])
             else:
-                self.letters.update(zip(part, self._plain(part)))
+                self.letters.update(zip(part, self._plain([w.decode() for w in part])))
 
     def learn(self, words: set[bytes]) -> None:
-        split, rest = [], []
+        """words: in ASCII lower case."""
+        split, rest, tail = [], [], self.TAIL.encode()
         for w in words:
-            text = w.decode()
-            core = text.rstrip(self.TAIL)
-            if core.isalpha() and (w.isascii() or (unicodedata.is_normalized("NFC", core) and "\u03a3" not in core and "\u0130" not in core)):
-                split.append((w, core.lower(), text[len(core) :]))
+            core = w.rstrip(tail)
+            if core.isalpha():  # ASCII letters only
+                split.append((w, core, w[len(core) :]))
+                continue
+            text = core.decode()
+            if text.isalpha() and unicodedata.is_normalized("NFC", text) and "\u03a3" not in text and "\u0130" not in text:
+                split.append((w, text.lower().encode(), w[len(core) :]))
             else:
-                rest.append((w, text))
-        self._learn_letters([c for c in {c for _, c, _ in split} if c not in self.letters])
-        tails = [t for t in {t for _, _, t in split} if t]
-        of = dict(zip(tails, self._plain(tails))) | {"": b""}
+                rest.append(w)
         letters = self.letters
-        self.known.update((w, letters[c] + of[t]) for w, c, t in split)
-        self.known.update(zip([w for w, _ in rest], self._plain([t for _, t in rest])))
+        self._learn_letters([c for c in {c for _, c, _ in split} if c not in letters])
+        tails = [t for t in {t for _, _, t in split} if t]
+        of = dict(zip(tails, self._plain([t.decode() for t in tails]))) | {b"": b""}
+        self.known.update([(w, letters[c] + of[t]) for w, c, t in split])
+        self.known.update(zip(rest, self._plain([w.decode() for w in rest])))
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
-        """Many texts at once: what is new in some hundreds of thousands of bytes of them is learnt in one go."""
-        out, waiting, size = [], [], 0
-        for t in [*texts, None]:
-            if t is None or size > 1 << 20:
-                new = {w for words, got in waiting if None in got for w, x in zip(words, got) if x is None}
-                if len(self.known) + len(new) > REMEMBER:
-                    self.known, self.letters = {}, {}
-                self.learn(new)
-                known = self.known
-                out += [b"".join(got) if None not in got else b"".join([known[w] if x is None else x for w, x in zip(words, got)]) for words, got in waiting]
-                waiting, size = [], 0
-            if t is not None:
-                words = t.split()
-                waiting.append((words, list(map(self.known.get, words))))
+        """Many texts at once: what is new in about a million bytes of those that hold something new is learnt in one go."""
+        out: list[bytes] = [b""] * len(texts)
+        waiting: list[tuple[int, list[bytes]]] = []
+        size = 0
+
+        def catch_up() -> None:
+            new = {w for _, words in waiting for w in words if w not in self.known}
+            if len(self.known) + len(new) > REMEMBER:
+                self.known, self.letters = {}, {}
+                new = {w for _, words in waiting for w in words}
+            self.learn(new)
+            for i, words in waiting:
+                out[i] = b"".join(map(self.known.__getitem__, words))
+            waiting.clear()
+
+        for i, t in enumerate(texts):
+            words = t.translate(LOWER).split()
+            try:
+                out[i] = b"".join(map(self.known.__getitem__, words))
+            except KeyError:
+                waiting.append((i, words))
                 size += len(t)
+                if size > 1 << 20:
+                    catch_up()
+                    size = 0
+        catch_up()
         return out
 
 
