@@ -23,13 +23,13 @@ def repair(lines: DataFrame, cls: str = "predicted", font: str = "font_size", ou
 
     Classes that no model predicts pass through. The classes of the neighbours are taken once, after the rules on
     single lines; only the last five passes look at the repaired line before."""
-    mine = lines.where(F.col(cls).isin(*PREDICTED))
-    others = lines.where(~F.col(cls).isin(*PREDICTED) | F.col(cls).isNull()).withColumn(out, F.col(cls))
+    lines = lines.withColumn("_mine", F.coalesce(F.col(cls).isin(*PREDICTED), F.lit(False)))
+    order = Window.partitionBy("doc_id", "_mine").orderBy("pdf_idx")  # other classes are no neighbours of these
     w, text, c = words(F.col("text")), F.col("text"), F.col(out)
     contents = (F.size(w) >= 3) & F.get(w, F.lit(0)).rlike(r"^\p{Nd}+$") & F.element_at(w, -1).rlike(r"^\p{Nd}+$")
     dots = F.replace(text, F.lit(" "), F.lit("")).rlike(r"\.{5,}")
-    df = mine.withColumn(out, F.when(dots | F.coalesce(contents, F.lit(False)), 4).when(F.lower(text).isin(*KNOWN_HEADINGS), 2).otherwise(F.col(cls)))
-    df = df.withColumns({"_p": F.lag(out).over(in_order()), "_n": F.lead(out).over(in_order()), "_f": F.lag(font).over(in_order()), "_page": F.lead("page").over(in_order())})
+    df = lines.withColumn(out, F.when(~F.col("_mine"), F.col(cls)).when(dots | F.coalesce(contents, F.lit(False)), 4).when(F.lower(text).isin(*KNOWN_HEADINGS), 2).otherwise(F.col(cls)))
+    df = df.withColumns({"_p": F.lag(out).over(order), "_n": F.lead(out).over(order), "_f": F.lag(font).over(order), "_page": F.lead("page").over(order)})
     p, n = F.col("_p"), F.col("_n")
     marked = stripped(text)
     paragraph = c.isin(0, 1)
@@ -47,13 +47,13 @@ def repair(lines: DataFrame, cls: str = "predicted", font: str = "font_size", ou
         ((c == 10) & ~text.rlike(BULLET), 0),
     ]
     for test, to in rules:
-        df = df.withColumn(out, F.when(test, to).otherwise(c))
+        df = df.withColumn(out, F.when(F.col("_mine") & test, to).otherwise(c))
     follow = lookup(p, dict(PAIRS))
     for base, cont in PAIRS:
-        df = df.withColumn("_q", F.lag(out).over(in_order()))
-        orphan = (c == cont) & ~F.col("_q").eqNullSafe(F.lit(base)) & ~F.col("_q").eqNullSafe(F.lit(cont))
+        df = df.withColumn("_q", F.lag(out).over(order))
+        orphan = F.col("_mine") & (c == cont) & ~F.col("_q").eqNullSafe(F.lit(base)) & ~F.col("_q").eqNullSafe(F.lit(cont))
         df = df.withColumn(out, F.when(orphan, F.coalesce(follow, c)).otherwise(c))
-    return df.drop("_p", "_n", "_f", "_page", "_q").withColumn(out, F.col(out).cast("int")).unionByName(others.withColumn(out, F.col(out).cast("int")))
+    return df.drop("_p", "_n", "_f", "_page", "_q", "_mine").withColumn(out, F.col(out).cast("int"))
 
 
 def older_classes(classes: list[int]) -> list[int]:
@@ -96,25 +96,25 @@ def merge_lines(lines: DataFrame, cls: str) -> DataFrame:
     """Paragraphs of lines: a base line and the continuations after it on its page and column.
 
     A continuation that starts a page or column is made a base; one with nothing before it is dropped. Headers,
-    footers and footnotes stand for themselves and do not end a paragraph."""
-    margin = F.col(cls).isin(6, 7, 8)
+    footers and footnotes stand for themselves and do not end a paragraph; lines without a class are dropped. All is one
+    pass: the lines of a document are dealt once, and sorted once for the flow and once for its paragraphs."""
     edge = ~(F.col("page").eqNullSafe(F.lag("page").over(in_order())) & F.col("ncols").eqNullSafe(F.lag("ncols").over(in_order())))
-    df = lines.withColumns({"_margin": margin, "_edge": edge})
-    flow = df.where(~F.col("_margin"))
+    df = lines.withColumns({"_margin": F.col(cls).isin(6, 7, 8), "_edge": edge}).where(F.col(cls).isNotNull())
     cont = F.col(cls).isin(*CONTINUATIONS)
     base = F.col(cls).isin(*(b for b, _ in PAIRS)) | (cont & F.col("_edge"))
     kind = lookup(F.col(cls).cast("int"), {1: 0, 3: 2, 13: 10, 14: 11})
-    flow = flow.withColumns({"_starts": base | ~cont | F.col("_edge"), "_base": base, "_cont": cont, "_cls": F.when(cont & F.col("_edge"), kind).otherwise(F.col(cls))})
-    flow = flow.withColumn("_gid", F.sum(F.col("_starts").cast("int")).over(in_order().rowsBetween(Window.unboundedPreceding, 0)))
-    flow = flow.withColumns({"_open": F.first("_base").over(Window.partitionBy("doc_id", "_gid").orderBy("pdf_idx")), "_at": F.row_number().over(Window.partitionBy("doc_id", "_gid").orderBy("pdf_idx"))})
-    flow = flow.where((F.col("_at") == 1) & ~(F.col("_cont") & ~F.col("_base")) | (F.col("_at") > 1) & F.col("_open"))
+    df = df.withColumns({"_starts": base | ~cont | F.col("_edge"), "_base": base, "_cont": cont, "_cls": F.when(~F.col("_margin") & cont & F.col("_edge"), kind).otherwise(F.col(cls))})
+    flow = Window.partitionBy("doc_id", "_margin").orderBy("pdf_idx").rowsBetween(Window.unboundedPreceding, 0)
+    df = df.withColumn("_gid", F.when(F.col("_margin"), -1 - F.col("pdf_idx")).otherwise(F.sum(F.col("_starts").cast("int")).over(flow)))
+    within = Window.partitionBy("doc_id", "_gid").orderBy("pdf_idx")
+    df = df.withColumns({"_open": F.first("_base").over(within), "_at": F.row_number().over(within)})
+    df = df.where(F.col("_margin") | ((F.col("_at") == 1) & ~(F.col("_cont") & ~F.col("_base"))) | ((F.col("_at") > 1) & F.col("_open")))
     ordered = F.sort_array(F.collect_list(F.struct("pdf_idx", "text", "_cls", "page")))
     boxes = [F.min("line_x0").alias("line_x0"), F.min("line_y0").alias("line_y0"), F.max("line_x1").alias("line_x1")]
-    merged = flow.groupBy("doc_id", "_gid").agg(ordered.alias("_l"), *boxes)
+    merged = df.groupBy("doc_id", "_gid").agg(ordered.alias("_l"), *boxes)
     first = F.get("_l", F.lit(0))
-    merged = merged.select("doc_id", first["pdf_idx"].alias("pdf_idx"), first["_cls"].cast("int").alias("cls"), first["page"].alias("page"), F.array_join(F.transform("_l", lambda x: x["text"]), "").alias("text"), F.size("_l").alias("n_lines"), "line_x0", "line_y0", "line_x1")
-    alone = df.where("_margin").select("doc_id", "pdf_idx", F.col(cls).cast("int").alias("cls"), "page", "text", F.lit(1).alias("n_lines"), "line_x0", "line_y0", "line_x1")
-    return merged.unionByName(alone)
+    joined = F.array_join(F.transform("_l", lambda x: x["text"]), "")
+    return merged.select("doc_id", first["pdf_idx"].alias("pdf_idx"), first["_cls"].cast("int").alias("cls"), first["page"].alias("page"), joined.alias("text"), F.size("_l").alias("n_lines"), "line_x0", "line_y0", "line_x1")
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -142,7 +142,9 @@ def html_blocks(spark, d):
     return markup.first_of_equal(markup.parse(table(spark, d, "pages"), "page_id", "html", markup.PARSERS["html"]), "page_id")
 
 
-@query()
+@query(r"""WITH l AS (SELECT doc_id, unnest(range(len(a))) AS i, unnest(a) AS raw FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents)),
+t AS (SELECT doc_id, i, trim(regexp_replace(raw, '\s+', ' ', 'g')) AS text FROM l)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i)::INT - 1 AS ordinal, CASE WHEN i % 4 = 0 THEN 'HD' ELSE 'P' END AS tag, CASE WHEN i % 4 = 0 THEN 2 ELSE 0 END AS cls, text FROM t WHERE text <> ''""")
 def xml_blocks(spark, d):
     """S5, S5b, S5c, S5g, S6, S6c, S11: tag-dispatched blocks of regulation markup made from documents."""
     esc = F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
@@ -209,13 +211,20 @@ def rf_predict(spark, d):
     return models.forest_predictions(lines_of(spark, d))
 
 
+@query()
+def boosted_predict(spark, d):
+    """ML2: boosted trees, one class against the others, over the same features."""
+    return models.boosted_predictions(lines_of(spark, d))
+
+
 @query()
 def feature_importance(spark, d):
     """G14, ML11 (stand-in): importances of a forest with their running share."""
     return models.importances(lines_of(spark, d))
 
 
-@query()
+@query("""WITH e AS (SELECT epoch(date_trunc('hour', ts))::BIGINT AS start, event_type, count(*) AS n, sum(round(value * 10000)::BIGINT)::DOUBLE / 10000 AS total, max(max(ts)) OVER () AS latest FROM events GROUP BY 1, 2)
+SELECT start, event_type, n, total FROM e WHERE start + 3600 <= epoch(latest) - 3600""")
 def stream_windows(spark, d):
     """Extension: events as a stream, counts by window with a watermark."""
     return ingest.window_counts(spark, d)

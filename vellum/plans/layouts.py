@@ -33,9 +33,14 @@ def common_edges(spark, d):
     return windows.common_edges(lines_of(spark, d))
 
 
-@query()
+@query(rf"""WITH RECURSIVE {LINES}, c AS (SELECT doc_id, list(len(list_filter(string_split(text, ' '), lambda w: w <> '')) ORDER BY pdf_idx) AS w FROM L GROUP BY 1),
+b AS (SELECT doc_id, len(w) AS n, list_transform(range(len(w) + 1), lambda i: coalesce(list_sum(w[1:i]), 0)::BIGINT) AS b FROM c),
+r AS (SELECT doc_id, 0 AS win, 0::BIGINT AS s, coalesce(list_filter(range(1, n + 1), lambda e: b[e + 1] >= 200)[1], n) AS e FROM b
+ UNION ALL SELECT doc_id, win + 1, t, coalesce(list_filter(range(t + 1, n + 1), lambda e: b[e + 1] - b[t + 1] >= 200)[1], n) FROM (
+  SELECT r.doc_id, r.win, b.n, b.b, greatest(r.s + 1, coalesce(list_filter(range(r.s, r.e), lambda i: b.b[r.e + 1] - b.b[i + 1] <= 1)[1], r.e)) AS t FROM r JOIN b USING (doc_id) WHERE r.e < b.n))
+SELECT doc_id, win::INT AS window, s::INT AS first_idx, (e - 1)::INT AS last_idx, (b[e + 1] - b[s + 1])::INT AS words FROM r JOIN b USING (doc_id)""")
 def sliding_windows(spark, d):
-    """Windows of 200 words that overlap."""
+    """Windows of 200 words; the last lines of at most one word together repeat."""
     return windows.sliding_windows(lines_of(spark, d))
 
 

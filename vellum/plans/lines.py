@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -126,6 +128,18 @@ def shifted_matrix(spark, d):
     return lines_of(spark, d).select("doc_id", "pdf_idx", *(x for c in _SHIFTED for x in (F.col(c), F.lead(c).over(in_order()).alias(f"{c}_next"), F.lag(c).over(in_order()).alias(f"{c}_prev"))))
 
 
+_SHIFTS = tuple(re.findall(r"AS (\w+)", text.FEATURES_SQL))
+
+
+@query(f"""WITH {LINES}, f AS (SELECT doc_id, pdf_idx, {text.FEATURES_SQL} FROM L)
+SELECT doc_id, pdf_idx, {", ".join(f'{c}::INT AS {c}, lead({c}) OVER w::INT AS "{c}_shift_-1", lag({c}) OVER w::INT AS "{c}_shift_1"' for c in _SHIFTS)} FROM f {W}""")
+def shifted_features(spark, d):
+    """All text features of each line, of the line after it (-1) and of the one before it (1), in one pass."""
+    f = lines_of(spark, d).select("doc_id", "pdf_idx", *(c.cast("int").alias(k) for k, c in text.text_features(F.col("text")).items()))
+    shifts = [x for c in _SHIFTS for x in (F.col(c), F.lead(c).over(in_order()).alias(f"{c}_shift_-1"), F.lag(c).over(in_order()).alias(f"{c}_shift_1"))]
+    return f.select("doc_id", "pdf_idx", *shifts)
+
+
 _FINAL = f"coalesce(CASE WHEN is_table THEN 5 WHEN is_header THEN 6 WHEN is_footer THEN 7 END, predicted)"  # noqa: F541
 
 

@@ -143,5 +143,5 @@ def listing_rows(spark, d):
 @query("SELECT doc_id, CASE WHEN source IN ('src0', 'src1') THEN 'draft' WHEN source IN ('src2', 'src3') THEN 'private' ELSE 'public' END AS repo FROM documents")
 def repositories(spark, d):
     """The repository of a document, by SQL text."""
-    table(spark, d, "documents").createOrReplaceTempView("vellum_documents")
-    return spark.sql("select doc_id, case when source in ('src0', 'src1') then 'draft' when source in ('src2', 'src3') then 'private' else 'public' end as repo from vellum_documents")
+    docs = table(spark, d, "documents")
+    return spark.sql("select doc_id, case when source in ('src0', 'src1') then 'draft' when source in ('src2', 'src3') then 'private' else 'public' end as repo from {docs}", docs=docs)

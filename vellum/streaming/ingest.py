@@ -15,13 +15,14 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts and sums of events by hour and type; windows that the watermark has passed are written once."""
-    windows = _events(spark, sf_dir).withWatermark("ts", "1 hour").groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    """(start, event_type, n, total): counts and sums of events by hour (its first second) and type; windows that the
+    watermark has passed are written once. Sums are of whole ten-thousandths, so the order of events cannot move them."""
+    windows = _events(spark, sf_dir).withWatermark("ts", "1 hour").groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count("*").alias("n"), (F.sum(F.round(F.col("value") * 10_000).cast("long")) / 10_000).alias("total"))
     out = shared_path(spark, "windows")
-    flat = windows.select(F.col("window.start").alias("start"), "event_type", "n", "total")
+    flat = windows.select(F.unix_seconds("window.start").alias("start"), "event_type", "n", "total")
     q = flat.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", shared_path(spark, "windows-log")).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.schema("start timestamp, event_type string, n long, total double").parquet(out)
+    return spark.read.schema("start long, event_type string, n long, total double").parquet(out)
 
 
 def last_states(spark: SparkSession, sf_dir: str) -> DataFrame:
