@@ -6,7 +6,8 @@ from 1 to 4: in 0, 1, 2 and 3. So a pair is looked up by one segment that is equ
 one bit flipped (a key of 32 bits), is pruned by the chain of three, and only then meets the full check.
 
 That is the query; the stage of the pipeline, keep_one(), links texts whose sets of shingles of WORDS words have a
-Jaccard similarity of THRESHOLD or more. Its candidates come by the same filter from two fingerprints of single words.
+Jaccard similarity of THRESHOLD or more. Its candidates come by the same filter from two fingerprints of single words,
+pruned by a sketch of their shingles.
 
 Null and empty texts, and those of white space only, have fingerprint zero and link like any others. Rows with
 a null doc_id are kept; they link texts, but never name a component unless it has no other row (then null).
@@ -29,8 +30,8 @@ from vellum.llm.similar import THRESHOLD, linked
 __all__ = ["THRESHOLD", "keep_one", "near_duplicates"]
 SEGMENTS, WIDTH = 4, 16
 MAX_BITS = 3
-#: Words of a shingle in the exact comparison of the pipeline's stage.
-WORDS = 5
+#: Words of a shingle in the exact comparison of the pipeline's stage, and numbers of a text's sketch.
+WORDS, SKETCH_BANDS = 5, 6
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Shingles whose bits are counted at a time; bounds the memory of very long texts.
 CHUNK = 1 << 16
@@ -124,29 +125,53 @@ def word_shingles(text: str) -> frozenset[str]:
     return frozenset(" ".join(words[i : i + WORDS]) for i in range(max(1, len(words) - WORDS + 1)))
 
 
+def sketch(text: str) -> list[int]:
+    """A number for each of SKETCH_BANDS pairs of least hashes of a text's shingles of WORDS words. Texts at a similarity
+    of 0.8 share one with probability 1 - (1 - 0.64)**6 = 0.998, texts without common shingles none."""
+    import numpy as np
+    import xxhash
+
+    words = text.encode("utf-8", "surrogatepass").translate(LOWER).split()
+    h = np.fromiter({xxhash.xxh64_intdigest(b" ".join(words[i : i + WORDS])) for i in range(max(1, len(words) - WORDS + 1))}, np.uint64)
+    turn = np.random.default_rng(5).integers(1, 1 << 63, 2 * SKETCH_BANDS, dtype=np.uint64) | np.uint64(1)
+    least = np.array([(h * t).min() for t in turn]).reshape(SKETCH_BANDS, 2)
+    mixed = (least[:, 0] ^ (least[:, 1] >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + least[:, 1] + np.arange(SKETCH_BANDS, dtype=np.uint64)
+    return mixed.view(np.int64).tolist()
+
+
 def similar_texts(docs: DataFrame) -> DataFrame:
     """(a, b): links that connect all texts found similar, by a hash of each text. docs: (th, text).
 
-    Candidates are texts with a SimHash of their words at most MAX_BITS apart, found by the pigeonring filter; each two
-    of a candidate bucket are then compared exactly, as sets of shingles of WORDS words, at a Jaccard of THRESHOLD.
-    Single words change less by an edit than shingles do, so their fingerprints find most pairs at the threshold."""
+    Candidates are texts with a SimHash of their words at most MAX_BITS apart, found by the pigeonring filter, and
+    chains of them; single words change less by an edit than shingles do, so these fingerprints find most pairs at the
+    threshold. Long texts of one language have near fingerprints without being copies, so only texts take part that
+    share a number of their sketch with another text, and only those of a chain that share one are compared: exactly,
+    as sets of shingles of WORDS words, at a Jaccard similarity of THRESHOLD. Rows stay linear in the texts: each has
+    two fingerprints and SKETCH_BANDS numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [word_prints(t) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("th"), *(pa.array([f[i] for f in found], pa.int64()) for i in (0, 1))], ["th", "p0", "p1"])
-
-    prints = stored(docs.mapInArrow(run, "th long, p0 long, p1 long").distinct(), "prints")
+            texts = b.column("text").to_pylist()
+            found = [word_prints(t) for t in texts]
+            cols = [*(pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)), pa.array([sketch(t) for t in texts], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([b.column("th"), *cols], ["th", "p0", "p1", "keys"])
+
+    prints = docs.mapInArrow(run, "th long, p0 long, p1 long, keys array<long>")
+    prints = stored(prints.groupBy("th").agg(F.first("p0").alias("p0"), F.first("p1").alias("p1"), F.first("keys").alias("keys")), "prints")
+    keys = prints.select("th", F.explode("keys").alias("key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    keys = stored(keys.join(shared, "key"), "shared")
+    some = stored(prints.join(keys.select("th").distinct(), "th", "left_semi").select("th", "p0", "p1"), "some")
     rows = None
     for i in (0, 1):
-        held = stored(prints.select(F.col(f"p{i}").alias("fp"), F.col("th").alias("id")), "held")
-        distinct = stored(held.groupBy("fp").agg(F.count("*").alias("n")), "distinct")
-        pairs = stored(links(distinct.select("fp")), "links")
-        ends = pairs.select(F.xxhash64("a", "b").alias("hub"), F.explode(F.array("a", "b")).alias("fp"))
-        alone = distinct.where("n > 1").select(F.xxhash64("fp").alias("hub"), "fp")
-        mine = ends.union(alone).join(held, "fp").select("hub", "id")
+        held = some.select(F.col(f"p{i}").alias("fp"), "th")
+        chains = components(stored(links(stored(held.select("fp").distinct(), "distinct")), "links"))
+        mine = held.join(chains.withColumnRenamed("node", "fp"), "fp", "left").select("th", F.coalesce("component", F.xxhash64("fp")).alias("chain"))
+        mine = mine.join(keys, "th").select(F.xxhash64("chain", "key", F.lit(i)).alias("hub"), F.col("th").alias("id"))
         rows = mine if rows is None else rows.union(mine)
     rows = stored(rows.distinct(), "buckets")
+    several = rows.groupBy("hub").agg(F.count("*").alias("n")).where("n > 1").select("hub")
+    rows = stored(rows.join(several, "hub", "left_semi"), "buckets")
     texts = docs.select(F.col("th").alias("id"), F.col("text").alias("line")).join(rows.select("id").distinct(), "id", "left_semi")
     texts = stored(texts.groupBy("id").agg(F.min("line").alias("line")), "texts")
     return linked(rows, texts, word_shingles)
