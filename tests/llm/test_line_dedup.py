@@ -100,6 +100,17 @@ def test_forest_against_all_pairs():
     assert same(parts(split)) == same(parts(every))
 
 
+def test_numbers_stand_for_shingles():
+    lines = [t.split("\n")[0] for _, t in near_copies(20, 3)] + ["short", "x" * 40, "é\u4e00 ü" * 9]
+    many = [*lines, "".join(map(chr, range(0x4E00, 0x4E00 + 300)))]
+    for some in (lines, many):
+        sets, numbers = [ld.shingles(x) for x in some], ld.shingle_numbers(some)
+        assert [len(x) for x in numbers] == [len(x) for x in sets]
+        for a, x in zip(numbers, sets):
+            for b, y in zip(numbers, sets):
+                assert len(set(a.tolist()) & set(b.tolist())) == len(x & y) and a.tolist() == sorted(set(a.tolist()))
+
+
 def test_recall_on_a_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     want = brute([tuple(r) for r in docs.collect()])

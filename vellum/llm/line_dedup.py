@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.llm.shared import Table, components, is_empty, ship, stored
-from vellum.llm.similar import BLOCK_CHARS, BLOCK_LINES, THRESHOLD, forest, jaccard, linked
+from vellum.llm.similar import BLOCK_CHARS, BLOCK_LINES, THRESHOLD, forest, jaccard, linked, numbered
 
 __all__ = ["THRESHOLD", "dedup_lines", "forest", "jaccard", "removed", "report", "shingles"]
 SHINGLE, MIN_CHARS = 8, 16
@@ -56,6 +56,31 @@ def shingles(t: str) -> frozenset[str]:
     return frozenset([t[i : i + SHINGLE] for i in range(max(1, len(t) - SHINGLE + 1))])
 
 
+def shingle_numbers(lines: list[str]) -> list:
+    """The sets of shingles of some lines as sorted arrays of numbers, exact: where the lines have fewer than 256
+    different characters a shingle is a number of SHINGLE bytes, else numbers are given out."""
+    import numpy as np
+
+    padded = [x.ljust(SHINGLE, "\0") for x in lines]
+    points = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32)
+    known, code = np.unique(points, return_inverse=True)
+    if len(known) > 256:
+        return numbered([shingles(x) for x in lines])
+    code = code.astype(np.uint64)
+    n = len(code) - SHINGLE + 1
+    packed = code[:n].copy()
+    for j in range(1, SHINGLE):
+        packed <<= np.uint64(8)
+        packed |= code[j : n + j]
+    out, at = [], 0
+    for x in padded:
+        mine = packed[at : at + len(x) - SHINGLE + 1]
+        mine = np.sort(mine)
+        out.append(mine[np.concatenate(([True], mine[1:] != mine[:-1]))])
+        at += len(x)
+    return out
+
+
 def _hashed(lines: list[bytes]):
     import numpy as np
     import xxhash
@@ -173,7 +198,7 @@ def _edges(docs: DataFrame, signatures: DataFrame, block_lines: int = BLOCK_LINE
     pairs = stored(members.select(hub.alias("hub"), "id").where("id != hub").distinct(), "pairs")
     rows = pairs.union(pairs.select("hub", F.col("hub").alias("id")).distinct())
     texts = stored(_texts(docs, rows.select("id").distinct()), "texts")
-    return linked(rows, texts, shingles, block_lines, block_chars)
+    return linked(rows, texts, shingle_numbers, block_lines, block_chars)
 
 
 def removed(docs: DataFrame, shortest: int = MIN_CHARS) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm.shared import Table, components, ship, stored
-from vellum.llm.similar import THRESHOLD, linked
+from vellum.llm.similar import THRESHOLD, linked, numbered
 
 __all__ = ["THRESHOLD", "keep_one", "near_duplicates"]
 SEGMENTS, WIDTH = 4, 16
@@ -174,7 +174,7 @@ def similar_texts(docs: DataFrame) -> DataFrame:
     rows = stored(rows.join(several, "hub", "left_semi"), "buckets")
     texts = docs.select(F.col("th").alias("id"), F.col("text").alias("line")).join(rows.select("id").distinct(), "id", "left_semi")
     texts = stored(texts.groupBy("id").agg(F.min("line").alias("line")), "texts")
-    return linked(rows, texts, word_shingles)
+    return linked(rows, texts, lambda some: numbered([word_shingles(t) for t in some]))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
