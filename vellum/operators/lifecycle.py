@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,3 +46,8 @@ def version_actions(incoming: DataFrame, stored: DataFrame) -> DataFrame:
 
 def running_order(df: DataFrame, key: str, order: str, out: str) -> DataFrame:
     return df.withColumn(out, F.row_number().over(Window.partitionBy(key).orderBy(order)))
+
+
+def matching(df: DataFrame, **values) -> DataFrame:
+    """Rows that have the given values, all as filters that a scan can take over."""
+    return df.where(reduce(lambda a, b: a & b, (F.col(c) == v for c, v in values.items())))
