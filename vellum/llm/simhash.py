@@ -150,11 +150,13 @@ def similar_texts(docs: DataFrame) -> DataFrame:
     two fingerprints and SKETCH_BANDS numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = b.column("text").to_pylist()
-            found = [word_prints(t) for t in texts]
-            cols = [*(pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)), pa.array([sketch(t) for t in texts], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([b.column("th"), *cols], ["th", "p0", "p1", "keys"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1_000):
+                b = whole.slice(at, 1_000)
+                texts = b.column("text").to_pylist()
+                found = [word_prints(t) for t in texts]
+                cols = [*(pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)), pa.array([sketch(t) for t in texts], pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([b.column("th"), *cols], ["th", "p0", "p1", "keys"])
 
     prints = docs.mapInArrow(run, "th long, p0 long, p1 long, keys array<long>")
     prints = stored(prints.groupBy("th").agg(F.first("p0").alias("p0"), F.first("p1").alias("p1"), F.first("keys").alias("keys")), "prints")
@@ -190,7 +192,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     some = named.select(F.xxhash64(plain).alias("th"), plain.alias("text")).where("text != ''")
     labels = components(stored(similar_texts(some), "links")).select(F.col("node").alias("th"), "component")
     grouped = keys.groupBy("th").agg(F.min("doc_id").alias("first")).join(labels, "th", "left").select("first", F.coalesce("component", F.xxhash64("th")).alias("group"))
-    keep = stored(grouped.groupBy("group").agg(F.min("first").alias("doc_id")).select("doc_id").distinct(), "keep")
+    keep = grouped.groupBy("group").agg(F.min("first").alias("doc_id")).select("doc_id").distinct()
     order = F.xxhash64(*(F.col(c).cast("string") for c in names))
     kept = docs.join(keep, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*map(F.col, names)), order).alias("_row"))
     return kept.select(*(F.col(f"_row.{c}").alias(c[1:-1]) for c in names)).unionByName(docs.where("doc_id is null"))
