@@ -9,6 +9,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +19,8 @@ from pyspark.sql import functions as F
 #: Separators of words in every contract of this package: space, tab, line feed, vertical tab, form feed, return.
 SPACES = "\\x20\\x09-\\x0D"
 WORD = f"[^{SPACES}]+"
+#: Rows of a batch that Python workers get.
+BATCH = 1_000
 _own_folder: list[str] = []
 _written: list[tuple[SparkSession, str]] = []
 
@@ -51,13 +55,30 @@ def _clean() -> None:
             return
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Python workers get BATCH rows at a time while a table is written, unless the session asks for fewer: a batch of
+    long texts is held outside of the heap by Spark and again by the worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if 0 < int(before) <= BATCH:
+        yield
+        return
+    spark.conf.set(name, str(BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Table:
     """A DataFrame written to the shared folder. ``drop()`` removes it once nothing reads it any more."""
 
     def __init__(self, df: DataFrame, name: str):
         self.spark = df.sparkSession
         self.path = f"{shared_folder(self.spark)}/{name}-{uuid.uuid4().hex}"
-        df.write.parquet(self.path)
+        with _small_batches(self.spark):
+            df.write.parquet(self.path)
         _written.append((self.spark, self.path))
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
