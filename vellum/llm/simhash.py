@@ -84,7 +84,8 @@ def links(distinct: DataFrame) -> DataFrame:
     # the chain of three is all but the segment before the first one
     last = F.expr(f"shiftrightunsigned(a ^ b, pmod(i + {SEGMENTS - 1}, {SEGMENTS}) * {WIDTH}) & {(1 << WIDTH) - 1}L")
     chain = F.bit_count(apart) - F.bit_count(last) <= MAX_BITS * 3 // SEGMENTS
-    found = held.join(asked, "k").where((F.col("a") < F.col("b")) & chain & (F.bit_count(apart) <= MAX_BITS))
+    # Spark sizes an exploded side as what it was before, and might broadcast it; a merge join it can split
+    found = held.hint("merge").join(asked, "k").where((F.col("a") < F.col("b")) & chain & (F.bit_count(apart) <= MAX_BITS))
     return found.select("a", "b").distinct()
 
 
