@@ -299,3 +299,33 @@ def test_best_place_against_all_places():
         assert (round(sim, 9), s, e) == (round(want[0], 9), -want[1], want[2])
         hits += sim > 0
     assert hits > 50
+
+
+def test_equal_words_are_not_compared_place_by_place(monkeypatch):
+    from vellum.operators import align
+
+    calls = []
+    distance = align.edit_distance
+    monkeypatch.setattr(align, "edit_distance", lambda a, b: calls.append(1) or distance(a, b))
+    line = "Oure " * 200 + "station"
+    assert align.best_place(line, line.replace("tion", "shun"), align.Used(), 0, 0.75)[1:] == (0, len(line)) and len(calls) < 5
+
+
+def test_windows_by_pieces_are_those_of_all_windows():
+    import random
+
+    from vellum.operators import align
+
+    r = random.Random(8)
+    words = ["station", "the", "regulation", "applies", "before", "after", "it", "each", "part", "of", "this", "section"]
+    text = lambda n: " ".join(r.choice(words) for _ in range(n))
+    found = 0
+    for _ in range(60):
+        b = text(60)
+        at = r.randrange(300)
+        a = "".join(c if r.random() > 0.08 else "#" for c in b[at : at + 120]) if r.random() < 0.7 else text(20)
+        for most in (70.0, 80.0):
+            proved = align.window_above(a, b, most)
+            assert not proved or align.partial_ratio(a, b) > most
+            found += proved
+    assert found > 10
