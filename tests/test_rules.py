@@ -329,3 +329,19 @@ def test_windows_by_pieces_are_those_of_all_windows():
             assert not proved or align.partial_ratio(a, b) > most
             found += proved
     assert found > 10
+
+
+def test_far_texts_are_not_combed_and_matches_end_the_search(spark, monkeypatch):
+    import random
+
+    from vellum.operators import align
+
+    r = random.Random(9)
+    text = lambda letters: " ".join("".join(r.choice(letters) for _ in range(r.randint(2, 9))) for _ in range(60))
+    monkeypatch.setattr(align, "strands", lambda a, b: 1 / 0)
+    a, b = text("abcdefghijklm"), text("efghijklmnopq")
+    assert not align.matches(a, b) and align.matches(a, a.replace("a", "z"))
+    texts = spark.createDataFrame([(1, i, a) for i in range(40)], "doc_id long, pdf_idx int, text string")
+    items = spark.createDataFrame([(1, i, a if i < 30 else b) for i in range(40)], "doc_id long, item_id int, item string")
+    plan = align.partial_join(texts, items)
+    assert [r.item_id for r in plan.collect()] == [29] * 40 and "Sort" in plan._jdf.queryExecution().toString()
