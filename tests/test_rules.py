@@ -345,3 +345,21 @@ def test_far_texts_are_not_combed_and_matches_end_the_search(spark, monkeypatch)
     items = spark.createDataFrame([(1, i, a if i < 30 else b) for i in range(40)], "doc_id long, item_id int, item string")
     plan = align.partial_join(texts, items)
     assert [r.item_id for r in plan.collect()] == [29] * 40 and "Sort" in plan._jdf.queryExecution().toString()
+
+
+def test_bins_on_edges_are_those_of_the_sql(spark, tmp_path):
+    import random
+
+    import duckdb
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from vellum.plans import QUERIES, SQL
+
+    r = random.Random(2)
+    texts = ["\n".join("x" * r.choice(v) for _ in range(r.randint(2, 10))) for v in ((1, 1 + r.randrange(1, 40)) for _ in range(3_000))]
+    pq.write_table(pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": texts}), tmp_path / "documents.parquet")
+    got = {tuple(x) for x in QUERIES["bin_features"](spark, str(tmp_path)).collect()}
+    c = duckdb.connect()
+    c.sql(f"create view documents as from '{tmp_path}/documents.parquet'")
+    assert got == set(c.sql(SQL["bin_features"]).fetchall())
