@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from vellum.operators import vectors
 
 
@@ -59,3 +61,18 @@ def test_pages_and_chunks(spark):
     assert [len(p) for p in found] == [100, 100, 100, 34] and [x for p in found for x in p] == list(range(0, 1_000, 3))
     sizes = vectors.chunks(df, 100).groupBy("chunk").count().collect()
     assert sum(r["count"] for r in sizes) == 334 and max(r["count"] for r in sizes) <= 100
+
+
+def test_many_queries_are_one_product_and_ties_and_odd_vectors_hold(spark):
+    r = random.Random(6)
+    of = {i: [r.choice((0.25, 0.5, -0.5, 0.1)) for _ in range(3)] for i in range(1_200)}
+    of |= {1_200: None, 1_201: [1.0, None, 1.0], 1_202: [float("inf"), 1.0, 1.0]}
+    df = spark.createDataFrame(list(of.items()), "vec_id long, embedding array<float>").repartition(3).cache()
+    q = df.where("vec_id < 1100 or vec_id > 1200")
+    found = vectors.search(df, q, 4)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    got = {(x.query_id, x["rank"]): (x.vec_id, x.score) for x in found.collect()}
+    q = F.broadcast(q.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("_q")))
+    pairs = df.join(q, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", F.round(vectors.dot(F.col("embedding"), F.col("_q")), 6).alias("score"))
+    want = vectors._best(pairs, 4).collect()
+    assert len(want) == len(got) == 4 * 1_102 and all(str(got[x.query_id, x["rank"]]) == str((x.vec_id, x.score)) for x in want)

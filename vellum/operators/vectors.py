@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Most results of a search, and most queries that are broadcast at once; more are searched block by block.
 MOST_K, MOST_QUERIES = 500, 1_000
+#: Queries that are sent as one matrix to the tasks of an exact search, or of one of inverted lists.
+BLOCK = 16_000
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -37,14 +39,97 @@ def blocks(queries: DataFrame) -> list[DataFrame]:
 
 def search(data: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """(query_id, vec_id, score, rank): the k nearest by inner product of each query."""
-    return reduce(DataFrame.unionAll, (_search(data, q, min(k, MOST_K)) for q in blocks(queries)))
+    return _nearest(data.select("vec_id", "embedding"), queries, min(k, MOST_K))
+
+
+def _odd(v: Column) -> Column:
+    """Vectors that are null or hold a value that is no finite number."""
+    return v.isNull() | F.coalesce(F.exists(v, lambda x: x.isNull() | ~(F.abs(x) < float("inf")) | F.isnan(x)), F.lit(False))
+
+
+def _nearest(data: DataFrame, queries: DataFrame, k: int, centres=None, nprobe: int = 0) -> DataFrame:
+    """The k nearest rows of each query; with centres, those of the nprobe lists (a column of data) nearest to it.
+
+    Products of a batch of rows with all queries of a block are one product of matrices. What may be among the k best by
+    rounded scores is added up again in the order of `dot`, so scores are the same to the last bit. Vectors that are null
+    or not finite are few, and scored as columns."""
+    kept = ["vec_id", "embedding"] + (["list"] if centres is not None else [])
+    queries = queries.select("vec_id", "embedding").withColumn("_odd", _odd(F.col("embedding")))
+    n = -(-queries.count() // BLOCK) or 1
+    parts, plain = [], data.where(~_odd(F.col("embedding"))).select(*kept)
+    for i in range(n):
+        block = queries if n == 1 else queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(n)) == i)
+        rows = block.collect()
+        for wide in sorted({len(r.embedding) for r in rows if not r._odd}):
+            some = [r for r in rows if not r._odd and len(r.embedding) == wide]
+            parts.append(plain.where(F.size("embedding") == wide).mapInArrow(_products(plain.sparkSession, some, k, centres, nprobe), "query_id long, vec_id long, score double"))
+            parts.append(_columns(plain.where(F.size("embedding") != wide), block.where(~F.col("_odd") & (F.size("embedding") == wide)), centres, nprobe))
+        if any(r._odd for r in rows):
+            parts.append(_columns(plain, block.where("_odd"), centres, nprobe))
+        parts.append(_columns(data.where(_odd(F.col("embedding"))).select(*kept), block, centres, nprobe))
+    found = reduce(DataFrame.unionAll, parts).withColumn("score", F.round("score", 6))
+    return _best(found, k)
+
+
+def _columns(data: DataFrame, queries: DataFrame, centres, nprobe: int) -> DataFrame:
+    """(query_id, vec_id, score) of all pairs, or of those of the lists that are read."""
+    q = queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("_q"))
+    test = F.col("vec_id") != F.col("query_id")
+    if centres is not None:
+        near = F.transform(F.array(*(F.array(*map(F.lit, c)) for c in centres)), lambda c, i: F.struct((-dot(c, F.col("_q")) + dot(c, c) / 2).alias("d"), i.alias("list")))
+        q, test = q.withColumn("_lists", F.slice(F.array_sort(near), 1, nprobe)["list"]), test & F.array_contains("_lists", F.col("list"))
+    return data.join(F.broadcast(q), test).select("query_id", "vec_id", dot(F.col("embedding"), F.col("_q")).alias("score"))
+
+
+def _folded(a, b):
+    """Inner products of rows, added up from the first component on."""
+    out = 0.0
+    for j in range(a.shape[-1]):
+        out = out + a[..., j] * b[..., j]
+    return out
+
 
+def _products(spark, rows: list, k: int, centres, nprobe: int):
+    import numpy as np
+
+    ids, q, probes = np.array([r.vec_id for r in rows], np.int64), np.array([r.embedding for r in rows], float), None
+    if centres is not None:
+        c = np.array(centres, float)
+        far = -_folded(c[None], q[:, None]) + _folded(c, c) / 2
+        probes = np.zeros((len(q), len(c)), bool)
+        np.put_along_axis(probes, np.argsort(far, axis=1, kind="stable")[:, :nprobe], True, axis=1)
+    sent = spark.sparkContext.broadcast((ids, q, probes))
 
-def _search(data: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    q = F.broadcast(queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("_q")))
-    scored = data.join(q, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", F.round(dot(F.col("embedding"), F.col("_q")), 6).alias("score"))
-    by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return scored.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
+    def run(batches):
+        import pyarrow as pa
+
+        ids, q, probes = sent.value
+        floor = np.full(len(ids), -np.inf)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            vec, x = b["vec_id"].to_numpy(), b["embedding"].flatten().to_numpy().astype(float).reshape(b.num_rows, -1)
+            for at in range(0, len(ids), 128):
+                me, mine = ids[at : at + 128], q[at : at + 128]
+                near = mine @ x.T
+                # beyond what rounding to six places and the order of additions can change
+                slack = 2e-6 + 1e-12 * float(np.abs(mine).sum(axis=1).max() * np.abs(x).max(initial=0.0))
+                near[me[:, None] == vec[None, :]] = -np.inf
+                if probes is not None:
+                    near[~probes[at : at + 128][:, b["list"].to_numpy()]] = -np.inf
+                if len(vec) > k:
+                    kth = np.partition(near, len(vec) - k, axis=1)[:, len(vec) - k]
+                    floor[at : at + 128] = np.maximum(floor[at : at + 128], kth - slack)
+                i, j = np.nonzero((near >= floor[at : at + 128, None]) & np.isfinite(near))
+                score = _folded(mine[i], x[j])
+                by = np.lexsort((vec[j], -score, i))
+                i, j, score = i[by], j[by], score[by]
+                # of equal scores the k of the smallest ids
+                new = np.r_[True, (i[1:] != i[:-1]) | (score[1:] != score[:-1])] if len(i) else np.zeros(0, bool)
+                few = np.arange(len(i)) - np.maximum.accumulate(np.where(new, np.arange(len(i)), 0)) < k
+                yield pa.RecordBatch.from_arrays([pa.array(me[i[few]]), pa.array(vec[j[few]]), pa.array(score[few])], names=["query_id", "vec_id", "score"])
+
+    return run
 
 
 def fused(found: DataFrame, k: int) -> DataFrame:
@@ -69,16 +154,7 @@ class InvertedLists:
         self.lists = self.model.transform(self.vectors).select("vec_id", "embedding", F.col("prediction").alias("list"))
 
     def search(self, queries: DataFrame, k: int = 10, nprobe: int = 13) -> DataFrame:
-        return reduce(DataFrame.unionAll, (self._search(q, min(k, MOST_K), nprobe) for q in blocks(queries)))
-
-    def _search(self, queries: DataFrame, k: int, nprobe: int) -> DataFrame:
-        centres = F.array(*(F.array(*map(F.lit, c)) for c in self.centres))
-        near = F.transform(centres, lambda c, i: F.struct((-dot(c, F.col("embedding")) + dot(c, c) / 2).alias("d"), i.alias("list")))
-        q = queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("_q"), F.explode(F.slice(F.array_sort(near), 1, nprobe)).alias("n"))
-        q = F.broadcast(q.select("query_id", "_q", F.col("n.list").alias("list")))
-        scored = self.lists.join(q, "list").where("vec_id != query_id").select("query_id", "vec_id", F.round(dot(F.col("embedding"), F.col("_q")), 6).alias("score"))
-        by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        return scored.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
+        return _nearest(self.lists, queries, min(k, MOST_K), self.centres, nprobe)
 
 
 def _sample(data: DataFrame, rows: int):
