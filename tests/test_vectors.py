@@ -76,3 +76,17 @@ def test_many_queries_are_one_product_and_ties_and_odd_vectors_hold(spark):
     pairs = df.join(q, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", F.round(vectors.dot(F.col("embedding"), F.col("_q")), 6).alias("score"))
     want = vectors._best(pairs, 4).collect()
     assert len(want) == len(got) == 4 * 1_102 and all(str(got[x.query_id, x["rank"]]) == str((x.vec_id, x.score)) for x in want)
+
+
+def test_codes_are_scored_for_few_queries_at_a_time(spark):
+    import numpy as np
+    import pandas as pd
+
+    r = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(r.normal(size=(300, 8)))], "vec_id long, embedding array<double>")
+    quantizer = vectors.Quantizer(df, parts=4, codes=8)
+    sizes, tables = [], quantizer.tables
+    quantizer.tables = lambda q: sizes.append(len(q)) or tables(q)
+    b = pd.DataFrame([(x.vec_id, x.code) for x in quantizer.encode(df).collect()], columns=["vec_id", "code"])
+    found = list(vectors._by_codes(quantizer)(b, np.arange(200), r.normal(size=(200, 8)), 5))
+    assert max(sizes) <= 64 and sorted(set(np.concatenate([x[0] for x in found]).tolist())) == list(range(200))

@@ -244,14 +244,17 @@ def _by_codes(quantizer: Quantizer):
 
         code = np.frombuffer(b"".join(b["code"]), np.uint8).reshape(len(b), -1)
         vec = b["vec_id"].to_numpy()
-        near = sum(t[:, code[:, p]] for p, t in enumerate(quantizer.tables(q)))
-        if "list" in b:
-            lists = b["list"].to_numpy()
-            near = np.where(np.array(b.attrs["probes"])[:, lists], near, -np.inf) if "probes" in b.attrs else near
-        top = np.argpartition(-near, min(k, len(vec) - 1), axis=1)[:, : k + 1]
-        rows = np.repeat(np.arange(len(ids)), top.shape[1])
-        good = np.isfinite(near[rows, top.ravel()])
-        yield rows[good], vec[top.ravel()[good]], near[rows, top.ravel()][good]
+        for at in range(0, len(ids), 64):  # queries at a time, as sums are a number for each query and row
+            near = np.zeros((len(ids[at : at + 64]), len(vec)))
+            for p, t in enumerate(quantizer.tables(q[at : at + 64])):
+                near += t[:, code[:, p]]
+            if "probes" in b.attrs:
+                near[~np.array(b.attrs["probes"])[at : at + 64][:, b["list"].to_numpy()]] = -np.inf
+            top = np.argpartition(-near, min(k, len(vec) - 1), axis=1)[:, : k + 1]
+            rows = np.repeat(np.arange(len(near)), top.shape[1])
+            best = near[rows, top.ravel()]
+            good = np.isfinite(best)
+            yield at + rows[good], vec[top.ravel()[good]], best[good]
 
     return of
 
