@@ -363,3 +363,12 @@ def test_bins_on_edges_are_those_of_the_sql(spark, tmp_path):
     c = duckdb.connect()
     c.sql(f"create view documents as from '{tmp_path}/documents.parquet'")
     assert got == set(c.sql(SQL["bin_features"]).fetchall())
+
+
+def test_fits_read_a_stored_sample(spark):
+    from vellum.operators import models
+    from vellum.sources.tables import lines_of
+
+    frame = models.feature_frame(lines_of(spark, "/root/testdata/sf0.001"))
+    sample = models.fit_sample(frame, 50)
+    assert sample.count() == 50 and all("fit-sample" in f for f in sample.inputFiles())
