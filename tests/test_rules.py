@@ -372,3 +372,11 @@ def test_fits_read_a_stored_sample(spark):
     frame = models.feature_frame(lines_of(spark, "/root/testdata/sf0.001"))
     sample = models.fit_sample(frame, 50)
     assert sample.count() == 50 and all("fit-sample" in f for f in sample.inputFiles())
+
+
+def test_folds_are_no_groups_of_their_own(spark):
+    from vellum.plans import QUERIES
+
+    for name in ("header_footnotes", "section_chunks", "sliding_windows", "older_rules"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+        assert "FlatMapGroupsInPandas" not in plan and "MapInPandas" in plan, name
