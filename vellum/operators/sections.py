@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vellum.operators.folds import fold_documents
 from vellum.sources.tables import in_order
 
 HEADING, CONTENTS = (2, 3), 4
@@ -47,11 +47,10 @@ def chunks(s: DataFrame, least: int = 20, most: int = 200, calls: int = 50) -> D
 
     The fold is sequential, so a document is packed in one place."""
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("section")
-        budget = max(3 * most, int(pdf["words"].sum()) // calls)
+    def fold(doc, _, headings: list[str], words: list[int]) -> list[tuple]:
+        budget = max(3 * most, int(sum(words)) // calls)
         out, names, size = [], [], 0
-        for name, n in zip(pdf["heading"], pdf["words"]):
+        for name, n in zip(headings, words):
             if names and size + n > budget:
                 out.append((names, size))
                 names, size = [], 0
@@ -59,11 +58,10 @@ def chunks(s: DataFrame, least: int = 20, most: int = 200, calls: int = 50) -> D
                 names = [*names, name]
             size += int(n)
         out.append((names, size))
-        kept = [(pdf["doc_id"].iloc[0], i, " | ".join(x), n) for i, (x, n) in enumerate(y for y in out if y[1] > least)]
-        return pd.DataFrame(kept, columns=["doc_id", "chunk", "headings", "words"])
+        return [(doc, i, " | ".join(x), n) for i, (x, n) in enumerate(y for y in out if y[1] > least)]
 
     sized = s.select("doc_id", "section", "heading", F.regexp_count("content", F.lit("[^ ]+")).alias("words"))
-    return sized.groupBy("doc_id").applyInPandas(fold, "doc_id long, chunk int, headings string, words long")
+    return fold_documents(sized, "doc_id", "section", ["heading", "words"], fold, "doc_id long, chunk int, headings string, words long")
 
 
 def extractive_summary(s: DataFrame, sentences: int = 2) -> DataFrame:
