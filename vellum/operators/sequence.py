@@ -8,6 +8,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vellum.operators.folds import fold_documents
 from vellum.functions.text import stripped, words
 from vellum.schema import CONTINUATIONS, PAIRS, PREDICTED, lookup
 from vellum.sources.tables import in_order
@@ -77,12 +78,12 @@ def older_classes(classes: list[int]) -> list[int]:
 def older_rules(lines: DataFrame) -> DataFrame:
     """(doc_id, pdf_idx, cls): older_classes of each document; lines: (doc_id, pdf_idx, cls)."""
 
-    def run(pdf):
-        pdf = pdf.sort_values("pdf_idx")
-        return pdf.assign(cls=older_classes(pdf["cls"].tolist()))
+    def run(doc, idx: list[int], classes: list[int]) -> list[tuple]:
+        return [(doc, i, c) for i, c in zip(idx, older_classes(classes))]
 
     kinds = dict(lines.dtypes)
-    return lines.select("doc_id", "pdf_idx", F.col("cls").cast("int").alias("cls")).groupBy("doc_id").applyInPandas(run, f"doc_id {kinds['doc_id']}, pdf_idx {kinds['pdf_idx']}, cls int")
+    known = lines.select("doc_id", "pdf_idx", F.col("cls").cast("int").alias("cls"))
+    return fold_documents(known, "doc_id", "pdf_idx", ["cls"], run, f"doc_id {kinds['doc_id']}, pdf_idx {kinds['pdf_idx']}, cls int")
 
 
 def carry_list_kind(lines: DataFrame, cls: str, out: str) -> DataFrame:
