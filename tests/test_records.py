@@ -52,3 +52,16 @@ def test_articles():
     assert [(r["pmid"], r["deleted"]) for r in got] == [("7", False), ("1", True), ("2", True), ("9", False)]
     assert got[0]["revised"] == datetime.date(2001, 2, 1) and (got[0]["title"], got[0]["version"], got[0]["doi"]) == ("T", "2", "")
     assert list(records.articles(None)) == [] and list(records.articles("<S><PubmedArticle>")) == []
+
+
+def test_rows_of_a_batch_come_in_parts(spark, monkeypatch):
+    from vellum.sources import markup, records
+
+    for m in (markup, records):
+        monkeypatch.setattr(m, "ROWS", 3)
+    parser = lambda t: [(w,) for w in t.split()]
+    df = spark.createDataFrame([(i, "a b c d e") for i in range(4)], "k long, t string")
+    got = sorted(tuple(r) for r in records.scan(df, "k", "t", parser, "w string").collect())
+    assert got == [(i, j, w) for i in range(4) for j, w in enumerate("abcde")]
+    got = markup.parse(df, "k", "t", lambda t: [("p", 0, w) for w in t.split()]).collect()
+    assert sorted((r.k, r.ordinal, r.text) for r in got) == [(i, j, w) for i in range(4) for j, w in enumerate("abcde")]
