@@ -28,7 +28,8 @@ def clean_text(spark, d):
 SELECT doc_id, pdf_idx, round(CASE WHEN greatest(length(a), length(b)) = 0 THEN 1.0 ELSE 1 - levenshtein(trim(a), trim(b)) / greatest(length(a), length(b))::DOUBLE END, 6) AS similarity FROM q""")
 def line_similarity(spark, d):
     """Edit-distance similarity of neighbouring lines (letters beyond ASCII alike)."""
-    p = lines_of(spark, d).select("doc_id", "pdf_idx", _ascii(F.col("text")).alias("a"), _ascii(F.lead("text").over(in_order())).alias("b")).where("b is not null")
+    p = lines_of(spark, d).select("doc_id", "pdf_idx", _ascii(F.col("text")).alias("a"))
+    p = p.withColumn("b", F.lead("a").over(in_order())).where("b is not null")
     return p.select("doc_id", "pdf_idx", F.round(text.similarity(F.col("a"), F.col("b")), 6).alias("similarity"))
 
 
